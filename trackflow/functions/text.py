@@ -27,7 +27,8 @@ def trim_whitespace(text: Column) -> Column:
 
 def payload_of(value: Column, delimiter: str = ENVELOPE_DELIMITER) -> Column:
     """Text between the first and the second delimiter, trimmed; NULL without a delimiter."""
-    payload = trim_whitespace(F.split_part(value, F.lit(delimiter), F.lit(2)))
+    up_to_second = F.substring_index(value, delimiter, 2)
+    payload = trim_whitespace(F.substring_index(up_to_second, delimiter, -1))
     return F.when(F.contains(value, F.lit(delimiter)), payload)
 
 

@@ -1,10 +1,10 @@
 """Reassembly of sessions into documents.
 
-A document must fit one row.  Sessions above ``max_document_bytes`` are never collected: their
-lines come out of ``oversize_lines`` instead, whole and one by one.  Their sizes come from a
-narrow pass over the lines, and the sizes are joined back by (channel, block), the partitioning
-the framed lines already have.  So a huge session stays spread over many tasks and the lines
-are shuffled only once more, by session.
+A document must fit one row.  Sessions whose content lines, as they came, sum up to more than
+``max_document_bytes`` are never collected: their lines come out of ``oversize_lines`` instead,
+whole and one by one.  Their sizes come from a narrow pass over the lines, without the text, and
+are joined back by (channel, block), the partitioning the framed lines already have.  So a huge
+session stays spread over many tasks and the lines are shuffled only once more, by session.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from trackflow.functions.text import clean_line, session_id_of
 from trackflow.functions.xml import repair_tokens
-from trackflow.operators.framing import BLOCK_OFFSETS, with_blocks
+from trackflow.operators.framing import BLOCK_OFFSETS, with_blocks, with_line_bytes
 
 # Fixed value: the largest message the transport lets through.
 MAX_DOCUMENT_BYTES = 30_000_000
@@ -43,10 +43,6 @@ def _up_to_end(include_orphans: bool) -> Column:
     )
 
 
-def _text_bytes(text: Column, separator: str) -> Column:
-    return (F.octet_length(text) + F.lit(len(separator.encode()))).cast("bigint")
-
-
 def _oversize_by_block(sizes: DataFrame, max_document_bytes: int) -> DataFrame:
     """Per (channel, block): starts of the sessions whose content is above the limit."""
     by_block = sizes.groupBy("channel", "block", "session_start").agg(
@@ -84,7 +80,9 @@ def flag_oversize(
     ``is_oversize``: the session's content is above the limit.  ``is_oversize_document``: it is,
     and the session is complete.
     """
-    parts = with_blocks(lines, block_size=block_size).where(_up_to_end(include_orphans))
+    parts = with_line_bytes(with_blocks(lines, block_size=block_size)).where(
+        _up_to_end(include_orphans)
+    )
     texts = parts.withColumns(
         {
             "session_start": F.coalesce("start_offset", F.lit(_NO_START)),
@@ -94,13 +92,13 @@ def flag_oversize(
     if max_document_bytes is None:
         no = F.lit(False)
         return texts.withColumns({"is_oversize": no, "is_oversize_document": no})
-    n_bytes = F.coalesce(_text_bytes(F.col("text"), separator), F.lit(0))
+    n_bytes = F.col("line_bytes") + F.lit(len(separator.encode()))
     sizes = texts.select(
         "channel",
         "block",
         "session_start",
         F.col("marker").eqNullSafe("END").alias("is_end"),
-        n_bytes.alias("n_bytes"),
+        F.when(F.col("marker").isNull(), n_bytes).otherwise(0).alias("n_bytes"),
     )
     flagged = texts.join(
         _oversize_by_block(sizes, max_document_bytes), ["channel", "block"], "left"

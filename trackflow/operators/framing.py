@@ -33,6 +33,13 @@ def with_blocks(df: DataFrame, order: str = "offset", block_size: int = BLOCK_OF
     return df if "block" in df.columns else df.withColumn("block", _block(order, block_size))
 
 
+def with_line_bytes(df: DataFrame) -> DataFrame:
+    """Add the size of each line, to be known before any shuffle moves the text."""
+    if "line_bytes" in df.columns or "line" not in df.columns:
+        return df
+    return df.withColumn("line_bytes", F.octet_length("line").cast("bigint"))
+
+
 def _carries(lines: DataFrame, channel: str, order: str) -> DataFrame:
     """Per (channel, block): last START and END before the block and in the whole channel."""
     blocks = lines.groupBy(channel, "block").agg(
@@ -80,13 +87,14 @@ def assign_sessions(
     """Give every marked line its session.
 
     Adds ``session_id``, ``start_offset``, ``phase`` (orphan, start, content, end, trailing),
-    ``closed`` (an END of the same session came before) and, when blocked, ``block``.
+    ``closed`` (an END of the same session came before), ``line_bytes`` and, when blocked,
+    ``block``.
     ``block_size=None`` uses one window per channel, one shuffle in all; it fits only channels
     that one task can sort.
     """
     if block_size is None:
         ordered = Window.partitionBy(channel).orderBy(order)
-        lines = df.withColumns(
+        lines = with_line_bytes(df).withColumns(
             {
                 "start_offset": F.max(_offset_of("START", order)).over(
                     ordered.rowsBetween(Window.unboundedPreceding, 0)
@@ -112,7 +120,8 @@ def assign_sessions_blocked(
     ``keep_open_flag`` adds ``is_open``: the session is the last one of its channel and has no
     END yet, so later messages may still belong to it.
     """
-    lines = df.withColumn("block", _block(order, block_size))
+    sized = with_line_bytes(df)
+    lines = sized.withColumn("block", _block(order, block_size))
     ordered = Window.partitionBy(channel, "block").orderBy(order)
     within = lines.withColumns(
         {
@@ -142,7 +151,7 @@ def assign_sessions_blocked(
             "is_open", F.col("start_offset").eqNullSafe(F.col("channel_start")) & unended
         )
         added.append("is_open")
-    return labelled.select(*df.columns, *added)
+    return labelled.select(*sized.columns, *added)
 
 
 def session_status(lines: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ from trackflow.functions.xml import (
     TRACK_POINT,
     VIDEO_INFORMATION,
 )
-from trackflow.operators.parsing import hold, raw_items
+from trackflow.operators.hold import hold
+from trackflow.operators.parsing import raw_items
 
 
 def project_header(messages: DataFrame) -> DataFrame:

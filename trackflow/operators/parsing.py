@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,20 +23,12 @@ from trackflow.functions.xml import (
     wrap,
 )
 from trackflow.operators.assembly import MAX_DOCUMENT_BYTES
+from trackflow.operators.hold import hold
 
 # One element of a track, with its content or closed in itself.
 _ITEMS_ELEMENT = "(?s)<items(\\s[^>]*)?/>|<items(\\s[^>]*)?>.*?</items>"
 
 
-def hold(df: DataFrame, name: str, held: str) -> DataFrame:
-    """Compute column ``name`` once and call it ``held``.
-
-    The explode of a one-element array keeps the optimizer from copying a costly expression
-    into the filters and lambdas that use it.
-    """
-    return df.withColumn(held, F.explode(F.array(name))).drop(name)
-
-
 def parse_messages(documents: DataFrame, schema: str | T.StructType = TRACK_SCHEMA) -> DataFrame:
     """Parse each document into ``msg``; ``parse_error`` says why a document has no message.
 
@@ -72,11 +66,19 @@ def parsed_only(messages: DataFrame) -> DataFrame:
     return messages.where("parse_error IS NULL")
 
 
-def infer_schema(documents: DataFrame, xml_column: str = "xml") -> T.StructType:
-    """Schema over all documents, as the XML reader infers it from their text."""
+def infer_schema(
+    documents: DataFrame, xml_column: str = "xml", sampling_ratio: float = 1.0
+) -> T.StructType:
+    """Schema over the documents as the XML reader infers it, in the JVM and in one pass."""
+    spark = documents.sparkSession
     texts = documents.select(xml_column).where(F.col(xml_column).isNotNull())
-    reader = documents.sparkSession.read.option("rowTag", "TrackMessage")
-    return reader.xml(texts.rdd.map(lambda row: row[0])).schema
+    strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = (
+        spark._jsparkSession.read()
+        .option("rowTag", "TrackMessage")
+        .option("samplingRatio", str(sampling_ratio))
+    )
+    return T.StructType.fromJson(json.loads(reader.xml(strings).schema().json()))
 
 
 def to_documents(df: DataFrame, id_columns: list[str], body: list[str] | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackflow.functions.text import ENVELOPE_DELIMITER, PROLOG
+from trackflow.operators.hold import hold
 
 # An order with more items becomes several messages, so that no message outgrows a row.
 ITEMS_PER_MESSAGE = 10_000
@@ -48,11 +49,12 @@ def events_as_messages(events: DataFrame) -> DataFrame:
         F.array(F.lit(""), F.lit("  "), F.lit("\t")), (F.col("event_id") % 3 + 1).cast("int")
     )
     delimiter = F.when(F.col("event_id") % 97 == 0, F.lit("")).otherwise(F.lit(ENVELOPE_DELIMITER))
-    return events.select(
+    messages = events.select(
         F.col("user_id").alias("channel"),
         F.col("event_id").alias("offset"),
-        F.concat(F.lit("contentType"), delimiter, pad, junk, payload, pad).alias("value"),
+        F.concat(F.lit("contentType"), delimiter, pad, junk, payload, pad).alias("built"),
     )
+    return hold(messages, "built", "value")
 
 
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,7 +206,8 @@ def track_lines(spark: SparkSession, folder: str) -> DataFrame:
 def track_xml(spark: SparkSession, folder: str) -> DataFrame:
     """``(message_id, o_orderkey, xml)``: a track message per order."""
     lines = track_lines(spark, folder)
-    return lines.select("message_id", "o_orderkey", F.array_join("lines", "").alias("xml"))
+    built = lines.select("message_id", "o_orderkey", F.array_join("lines", "").alias("built"))
+    return hold(built, "built", "xml")
 
 
 def track_messages(spark: SparkSession, folder: str) -> DataFrame:

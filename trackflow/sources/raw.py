@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 RAW_SCHEMA = "channel string, offset long, value string"
 
@@ -16,7 +17,7 @@ def read_raw(
     format: str,
     path: str | None = None,
     streaming: bool = False,
-    schema: str | None = None,
+    schema: str | StructType | None = None,
     **options: str,
 ) -> DataFrame:
     """Read messages as a table or as a stream.
