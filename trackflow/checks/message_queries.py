@@ -161,7 +161,7 @@ def frame_stream_query(spark: SparkSession, folder: str) -> DataFrame:
         _event_stream(spark, folder), f"{base}/out", f"{base}/checkpoint", trigger=None
     )
     drain(query)
-    return StreamFrames(f"{base}/out").read(spark, "documents").drop("batch_id")
+    return StreamFrames(spark, f"{base}/out").read("documents").drop("batch_id")
 
 
 def stream_table(spark: SparkSession, folder: str) -> DataFrame:

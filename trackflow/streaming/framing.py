@@ -5,6 +5,9 @@ were open before it.  These open lines are a table, written anew by each batch u
 a repeated batch reads the same state and overwrites its own output.  A busy channel is cut
 into blocks as in a batch job; nothing runs in Python.
 
+The source is read once: the lines of a micro-batch are written to a table first, and the rest
+runs as batch queries on it, with adaptive execution, which a streaming plan does not have.
+
 Order within a channel must hold across micro-batches, as it does for a Kafka partition.
 Within a micro-batch rows may come in any order.
 """
@@ -23,13 +26,7 @@ from trackflow.operators.assembly import (
     oversize_texts,
 )
 from trackflow.operators.framing import BLOCK_OFFSETS, assign_sessions_blocked, session_status
-from trackflow.operators.messages import (
-    accepted_lines,
-    decode_value,
-    drop_prolog,
-    envelope_rejects,
-    mark_lines,
-)
+from trackflow.operators.messages import decode_value, drop_prolog, mark_lines, strip_envelope
 from trackflow.session import path_exists, remove_path
 from trackflow.streaming.queries import TRIGGER, start_query
 
@@ -44,6 +41,10 @@ def _write(df: DataFrame, path: str, table: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(_version(path, table, batch_id))
 
 
+def _keep_message(df: DataFrame) -> DataFrame:
+    return df.withColumn("message", F.col("value"))
+
+
 class StreamFrames:
     """One framing step per micro-batch, with its tables under ``path``.
 
@@ -55,34 +56,50 @@ class StreamFrames:
 
     def __init__(
         self,
+        spark: SparkSession,
         path: str,
         separator: str = "",
         clean: str = "regex",
         max_document_bytes: int = MAX_DOCUMENT_BYTES,
         block_size: int = BLOCK_OFFSETS,
     ):
+        self.spark = spark
         self.path = path.rstrip("/")
         self.separator = separator
         self.clean = clean
         self.max_document_bytes = max_document_bytes
         self.block_size = block_size
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
+    def read(self, table: str) -> DataFrame:
         """An output table over all batches."""
-        return spark.read.parquet(f"{self.path}/{table}")
+        return self.spark.read.parquet(f"{self.path}/{table}")
 
-    def _state(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame:
-        version = _version(self.path, table, batch_id - 1)
-        if not path_exists(spark, version):
+    def _state(self, batch_id: int) -> DataFrame:
+        """Lines of the open sessions; of a session that was passed on, only the START."""
+        version = _version(self.path, "open_lines", batch_id - 1)
+        if not path_exists(self.spark, version):
             raise ValueError(f"no state for batch {batch_id - 1} at {version}")
-        return spark.read.parquet(version)
+        return self.spark.read.parquet(version)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        messages = drop_prolog(decode_value(batch))
-        lines = mark_lines(accepted_lines(messages)).select(*LINE_COLUMNS)
+        spark = self.spark
+        arrived = mark_lines(strip_envelope(_keep_message(drop_prolog(decode_value(batch)))))
+        rejected = F.col("reject_reason").isNotNull()
+        message = F.when(rejected, F.col("message")).alias("message")
+        _write(
+            arrived.select(*LINE_COLUMNS, "reject_reason", message),
+            self.path,
+            "arrived",
+            batch_id,
+        )
+        arrived = spark.read.parquet(_version(self.path, "arrived", batch_id))
+        rejects = arrived.where("reject_reason IS NOT NULL").select(
+            "channel", "offset", "message", "reject_reason"
+        )
+        lines = arrived.where("reject_reason IS NULL").select(*LINE_COLUMNS)
         if batch_id > 0:
-            lines = self._state(spark, "open_lines", batch_id).unionByName(lines)
+            state = self._state(batch_id)
+            lines = state.select(*LINE_COLUMNS).unionByName(lines)
         framed = assign_sessions_blocked(lines, self.block_size, keep_open_flag=True)
         flagged = flag_oversize(
             framed.where("start_offset IS NOT NULL"),
@@ -92,30 +109,31 @@ class StreamFrames:
         )
         passed_on = F.col("is_oversize")
         if batch_id > 0:
-            known = self._state(spark, "oversize_open", batch_id).withColumn("known", F.lit(True))
+            known = state.where("passed_on").select(
+                "channel", F.col("offset").alias("start_offset"), F.lit(True).alias("known")
+            )
             flagged = flagged.join(known, ["channel", "start_offset"], "left")
             passed_on = passed_on | F.coalesce("known", F.lit(False))
         kept = flagged.withColumn("passed_on", passed_on).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write_outputs(kept, messages, batch_id)
+            self._write_outputs(kept, rejects, batch_id)
         finally:
             kept.unpersist()
+        remove_path(spark, _version(self.path, "arrived", batch_id))
         if batch_id > 1:
-            for table in ("open_lines", "oversize_open"):
-                remove_path(spark, _version(self.path, table, batch_id - 2))
+            remove_path(spark, _version(self.path, "open_lines", batch_id - 2))
 
-    def _write_outputs(self, kept: DataFrame, messages: DataFrame, batch_id: int) -> None:
+    def _write_outputs(self, kept: DataFrame, rejects: DataFrame, batch_id: int) -> None:
         small, big = kept.where("NOT passed_on"), kept.where("passed_on")
         sessions = session_status(kept.where("NOT is_open")).drop("n_lines")
-        is_open_start = F.col("is_open") & F.col("marker").eqNullSafe("START")
-        open_lines = kept.where(F.col("is_open") & (~F.col("passed_on") | is_open_start))
+        is_start = F.col("marker").eqNullSafe("START")
+        open_lines = kept.where(F.col("is_open") & (~F.col("passed_on") | is_start))
         outputs = {
             "documents": collect_documents(small, self.separator),
             "oversize": oversize_texts(big),
             "sessions": sessions,
-            "rejects": envelope_rejects(messages),
-            "open_lines": open_lines.select(*LINE_COLUMNS),
-            "oversize_open": big.where(is_open_start).select("channel", "start_offset"),
+            "rejects": rejects,
+            "open_lines": open_lines.select(*LINE_COLUMNS, "passed_on"),
         }
         for table, df in outputs.items():
             _write(df, self.path, table, batch_id)
@@ -130,4 +148,5 @@ def frame_stream(
     **options,
 ) -> StreamingQuery:
     """Frame a stream of raw messages; see ``StreamFrames`` for the tables and options."""
-    return start_query(messages, StreamFrames(path, **options), name, checkpoint, trigger)
+    frames = StreamFrames(messages.sparkSession, path, **options)
+    return start_query(messages, frames, name, checkpoint, trigger)
