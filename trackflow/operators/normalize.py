@@ -139,7 +139,9 @@ def route_items(messages: DataFrame) -> DataFrame:
 
     def route(track: Column, index: Column) -> Column:
         raw = F.get("raw_items", index)["items"]
-        paired = F.arrays_zip(track["items"].alias("item"), raw.alias("raw"))
+        paired = F.transform(
+            track["items"], lambda item, i: F.struct(item.alias("item"), F.get(raw, i).alias("raw"))
+        )
         kept = F.filter(paired, lambda pair: is_kept(pair["item"]))
         items = F.transform(kept, lambda pair: project_item(pair["item"], pair["raw"]))
         return F.struct(track["trackUUID"].alias("trackUUID"), items.alias("items"))
