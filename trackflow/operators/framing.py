@@ -148,7 +148,8 @@ def assign_sessions_blocked(
     if keep_open_flag:
         unended = F.col("channel_end").isNull() | (F.col("channel_end") < F.col("channel_start"))
         labelled = labelled.withColumn(
-            "is_open", F.col("start_offset").eqNullSafe(F.col("channel_start")) & unended
+            "is_open",
+            F.coalesce((F.col("start_offset") == F.col("channel_start")) & unended, F.lit(False)),
         )
         added.append("is_open")
     return labelled.select(*sized.columns, *added)
