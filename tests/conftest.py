@@ -11,8 +11,9 @@ from trackflow.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cores=8, shuffle_partitions=4)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(cores=8, shuffle_partitions=4, **{"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 

@@ -220,7 +220,7 @@ def st_index_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def lines_to_track_points(spark: SparkSession, folder: str) -> DataFrame:
     """The whole way: raw messages, sessions, documents, messages, indexed points."""
-    texts = documents(track_messages(spark, folder))
+    texts = documents(track_messages(spark, folder), stage=True)
     points = indexed_track_points(
         texts.select(F.col("channel").alias("message_id"), "session_id", "xml")
     )

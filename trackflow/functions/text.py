@@ -27,9 +27,11 @@ def trim_whitespace(text: Column) -> Column:
 
 def payload_of(value: Column, delimiter: str = ENVELOPE_DELIMITER) -> Column:
     """Text between the first and the second delimiter, trimmed; NULL without a delimiter."""
-    up_to_second = F.substring_index(value, delimiter, 2)
-    payload = trim_whitespace(F.substring_index(up_to_second, delimiter, -1))
-    return F.when(F.contains(value, F.lit(delimiter)), payload)
+    at = F.instr(value, delimiter)
+    rest = F.substring(value, at + F.lit(len(delimiter)), F.lit(2**31 - 1))
+    again = F.contains(rest, F.lit(delimiter))
+    payload = F.when(again, F.substring_index(rest, delimiter, 1)).otherwise(rest)
+    return F.when(at > 0, trim_whitespace(payload))
 
 
 def marker_of(line: Column) -> Column:

@@ -61,12 +61,6 @@ def repair_tokens(xml: Column, repairs: dict[str, str] | None = None) -> Column:
     return xml
 
 
-def occurrences(text: Column, needle: str) -> Column:
-    """Non-overlapping occurrences of ``needle``."""
-    removed = F.char_length(text) - F.char_length(F.replace(text, F.lit(needle), F.lit("")))
-    return (removed / F.lit(len(needle))).cast("int")
-
-
 def markup(text: Column) -> Column:
     """Turn parsed element content back into XML.
 

@@ -19,7 +19,6 @@ from trackflow.functions.xml import (
     TRACK_SCHEMA,
     XML_OPTIONS,
     element,
-    occurrences,
     wrap,
 )
 from trackflow.operators.assembly import MAX_DOCUMENT_BYTES
@@ -34,13 +33,10 @@ def parse_messages(documents: DataFrame, schema: str | T.StructType = TRACK_SCHE
 
     A pinned schema keeps types stable across documents.
     """
-    openings = occurrences(F.col("xml"), "<TrackMessage>") + occurrences(
-        F.col("xml"), "<TrackMessage "
-    )
     parsed = documents.withColumns(
         {
             "parsed": F.from_xml("xml", schema, XML_OPTIONS),
-            "n_roots": openings,
+            "n_roots": F.regexp_count("xml", F.lit("<TrackMessage[\\s/>]")),
         }
     )
     held = hold(parsed, "parsed", "msg")

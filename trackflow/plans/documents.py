@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from trackflow.operators.assembly import MAX_DOCUMENT_BYTES, assemble
-from trackflow.operators.framing import BLOCK_OFFSETS, assign_sessions
+from trackflow.operators.framing import BLOCK_OFFSETS, assign_sessions, with_line_bytes
 from trackflow.operators.messages import accepted_lines, decode_value, drop_prolog, mark_lines
+from trackflow.session import shared_folder
 
 
 def marked_lines(messages: DataFrame) -> DataFrame:
@@ -14,9 +15,24 @@ def marked_lines(messages: DataFrame) -> DataFrame:
     return mark_lines(accepted_lines(drop_prolog(decode_value(messages))))
 
 
-def session_lines(messages: DataFrame, block_size: int = BLOCK_OFFSETS) -> DataFrame:
+def staged(df: DataFrame, name: str = "lines") -> DataFrame:
+    """Write rows once to the folder the cluster shares and go on from that table.
+
+    Framing reads its lines three times, twice without their text.  A table makes the narrow
+    passes cheap; it pays off when the source is slow or has to be decoded.  The caller deletes
+    the table.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def session_lines(
+    messages: DataFrame, block_size: int = BLOCK_OFFSETS, stage: bool = False
+) -> DataFrame:
     """Marked lines with their sessions."""
-    return assign_sessions(marked_lines(messages), block_size=block_size)
+    lines = with_line_bytes(marked_lines(messages))
+    return assign_sessions(staged(lines) if stage else lines, block_size=block_size)
 
 
 def documents(
@@ -26,10 +42,11 @@ def documents(
     max_document_bytes: int | None = MAX_DOCUMENT_BYTES,
     include_orphans: bool = False,
     block_size: int = BLOCK_OFFSETS,
+    stage: bool = False,
 ) -> DataFrame:
     """One document per completed session of the raw messages."""
     return assemble(
-        session_lines(messages, block_size),
+        session_lines(messages, block_size, stage),
         separator,
         clean,
         max_document_bytes,
