@@ -11,6 +11,7 @@ from trackflow.plans.documents import marked_lines
 from trackflow.sources.raw import RAW_SCHEMA, read_raw
 from trackflow.streaming.framing import StreamFrames, frame_stream
 from trackflow.streaming.queries import SinkReport, batch_writer, drain, named_query, start_query
+from trackflow.streaming.stateful import frame_stateful
 
 MARKS = {"START": '{"mark":"START"}', "END": '{"mark":"END"}'}
 
@@ -165,3 +166,32 @@ def test_processing_time_trigger_and_lookup_by_name(spark, tmp_path):
     finally:
         query.stop()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def _stateful(spark, tmp_path, parts, **options):
+    source, out = str(tmp_path / "source"), str(tmp_path / "out")
+    for part in parts:
+        put(spark, source, as_messages(part))
+        framed = frame_stateful(marked_lines(stream_of(spark, source)), **options)
+        drain(start_query(framed, out, "stateful", str(tmp_path / "c"), trigger=None))
+    return spark.read.parquet(out)
+
+
+def test_stateful_framing_gives_the_batch_result(spark, tmp_path):
+    rows = random_rows(seed=41, channels=12, hot=200)
+    found = _stateful(spark, tmp_path, parts_of(rows, 3)).where("kind = 'document'").collect()
+    assert sorted((r.channel, r.start_offset, r.xml) for r in found) == expected(rows)
+    assert len({r.session_id for r in found}) == len(found)
+
+
+def test_stateful_framing_reports_unclosed_and_cuts_large_sessions(spark, tmp_path):
+    first = [(1, 0, "START", ""), (1, 1, None, "aaa"), (2, 0, None, "orphan"), (2, 1, "END", "")]
+    second = [(1, 2, "START", ""), (1, 3, None, "bbbb"), (1, 1, None, "again")]
+    third = [(1, 4, None, "cccc"), (1, 5, None, "d"), (1, 6, "END", ""), (1, 7, None, "late")]
+    found = _stateful(spark, tmp_path, [first, second, third], max_document_bytes=8)
+    rows = found.orderBy("start_offset", "part").collect()
+    assert [(r.kind, r.start_offset, r.end_offset, r.part, r.n_lines, r.xml) for r in rows] == [
+        ("unclosed", 0, None, 0, 0, None),
+        ("fragment", 2, None, 0, 3, "bbbbccccd"),
+        ("fragment", 2, 6, 1, 0, ""),
+    ]
