@@ -13,7 +13,8 @@ from trackflow.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(cores=8, shuffle_partitions=4, **{"spark.checkpoint.dir": shared})
+    folders = {"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": f"{shared}/warehouse"}
+    session = local_session(cores=8, shuffle_partitions=4, **folders)
     yield session
     session.stop()
 

@@ -155,6 +155,18 @@ def test_append_to_a_named_table_and_count(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_append_to_a_table_that_sql_can_read(spark, tmp_path):
+    source = str(tmp_path / "source")
+    put(spark, source, as_messages([(1, 0, "START", ""), (1, 1, None, "x")]))
+    lines = marked_lines(stream_of(spark, source)).select("channel", "offset", "line")
+    query = start_query(
+        lines, "line_store", "store", str(tmp_path / "c"), trigger=None, format="table"
+    )
+    drain(query)
+    found = spark.sql("SELECT line FROM line_store WHERE offset = 1").collect()
+    assert [row.line for row in found] == ["x"]
+
+
 def test_processing_time_trigger_and_lookup_by_name(spark, tmp_path):
     source = str(tmp_path / "source")
     put(spark, source, as_messages([(1, 0, "START", ""), (1, 1, None, "x")]))

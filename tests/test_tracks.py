@@ -216,6 +216,9 @@ def test_json_leaves_null_fields_out_and_ids_repeat(spark):
     assert [json.loads(row.json) for row in rows] == [{"n": 1}, {"n": 2, "note": "x"}]
     assert len({row.doc_id for row in rows}) == 2
     assert rows == to_documents(df, ["id", "n"], ["n", "note"]).collect()
+    random = to_documents(df, ["id", "n"], ["n", "note"], random_ids=True).collect()
+    assert [row.json for row in random] == [row.json for row in rows]
+    assert not {row.doc_id for row in random} & {row.doc_id for row in rows}
 
 
 def test_json_rows_are_glued_without_separator(spark):

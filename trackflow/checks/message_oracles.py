@@ -132,6 +132,8 @@ SELECT user_id AS channel, event_id AS "offset", {_PAYLOAD} AS clean,
 FROM events WHERE event_type IN ('click', 'view') AND event_id % 97 <> 0""",
     "assign_sessions": _FRAMED,
     "assign_sessions_blocked": _FRAMED,
+    "line_table": f"""{_FRAMES}
+SELECT channel, "offset", session_id AS id, line AS xml FROM framed""",
     "session_status": f"""{_FRAMES}
 SELECT channel, session_id, is_complete, start_offset, end_offset, n_lines FROM status""",
     "completed_sessions": f"""{_FRAMES}

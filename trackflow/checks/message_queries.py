@@ -78,6 +78,10 @@ def assign_sessions_blocked(spark: SparkSession, folder: str) -> DataFrame:
     return session_lines(raw_messages(spark, folder), SMALL_BLOCK).select(*_FRAMED)
 
 
+def line_table(spark: SparkSession, folder: str) -> DataFrame:
+    return framing.line_table(session_lines(raw_messages(spark, folder)))
+
+
 def _status(spark: SparkSession, folder: str) -> DataFrame:
     return framing.session_status(session_lines(raw_messages(spark, folder)))
 
@@ -213,6 +217,7 @@ QUERIES = {
     "clean_lines": clean_lines_query,
     "assign_sessions": assign_sessions,
     "assign_sessions_blocked": assign_sessions_blocked,
+    "line_table": line_table,
     "session_status": _status,
     "completed_sessions": completed_sessions,
     "unclosed_sessions": unclosed_sessions,

@@ -88,7 +88,54 @@ ELSE '<items type="TrackPoint"><trackItemUUID>' || uuid || '</trackItemUUID>'
 _FEATURES = f"""{_ITEMS}
 SELECT {_TYPED}, CAST(time_bin AS BIGINT) AS time_bin, st_key FROM {_KEYED}"""
 
+# Leaf fields of the messages, the types inference gives them, and the item they come with.
+_SCHEMA_ROWS = """
+  ('_corrupt_record', 'string', 'broken'), ('_version', 'bigint', NULL),
+  ('junk', 'string', NULL), ('messageSecurity', 'string', NULL),
+  ('msgCreatedTime', 'timestamp', NULL), ('senderId', 'string', NULL),
+  ('stanagVersion', 'double', NULL), ('tracks.trackUUID', 'string', NULL),
+  ('tracks.items[]._type', 'string', NULL),
+  ('tracks.items[].frame', 'bigint', 'VideoInformation'),
+  ('tracks.items[].note', 'string', 'TrackObject'),
+  ('tracks.items[].ignored', 'bigint', 'TrackPoint'),
+  ('tracks.items[].trackItemComment', 'string', 'TrackPoint'),
+  ('tracks.items[].trackItemSecurity.level', 'string', 'TrackPoint'),
+  ('tracks.items[].trackItemSource', 'string', 'TrackPoint'),
+  ('tracks.items[].trackItemTime', 'timestamp', 'TrackPoint'),
+  ('tracks.items[].trackItemUUID', 'string', 'TrackPoint'),
+  ('tracks.items[].trackPointCourse', 'bigint', 'TrackPoint'),
+  ('tracks.items[].trackPointObjectMask', 'string', 'TrackPoint'),
+  ('tracks.items[].trackPointPosition.elevation', 'bigint', 'TrackPoint'),
+  ('tracks.items[].trackPointPosition.latitude', 'double', 'TrackPoint'),
+  ('tracks.items[].trackPointPosition.longitude', 'double', 'TrackPoint'),
+  ('tracks.items[].trackPointSource', 'string', 'TrackPoint'),
+  ('tracks.items[].trackPointSpeed', 'double', 'TrackPoint'),
+  ('tracks.items[].trackPointType', 'string', 'TrackPoint')"""
+
+_DETAIL = "tracks.items[].TrackPointDetail"
+
+_DETAIL_ROWS = f"""
+  ('{_DETAIL}.pointDetailCovarianceMatrix.c', 'bigint', 'TrackPoint'),
+  ('{_DETAIL}.pointDetailVelocity.vx', 'bigint', 'TrackPoint'),
+  ('{_DETAIL}.pointDetailPosition._type', 'string', 'TrackPoint'),
+  ('{_DETAIL}.pointDetailPosition.elevation', 'bigint', 'N'),
+  ('{_DETAIL}.pointDetailPosition.latitude', 'double', 'N'),
+  ('{_DETAIL}.pointDetailPosition.longitude', 'double', 'N'),
+  ('{_DETAIL}.pointDetailPosition.x', 'bigint', 'A'),
+  ('{_DETAIL}.pointDetailPosition.y', 'bigint', 'A'),
+  ('{_DETAIL}.pointDetailPosition.z', 'bigint', 'A'),
+  ('{_DETAIL}.pointDetailPosition.localSystem.origin.elevation', 'bigint', 'A'),
+  ('{_DETAIL}.pointDetailPosition.localSystem.origin.latitude', 'double', 'A'),
+  ('{_DETAIL}.pointDetailPosition.localSystem.origin.longitude', 'double', 'A')"""
+
 ORACLES = {
+    "infer_schema": f"""{_ITEMS},
+seen AS (
+  SELECT kind AS what FROM items WHERE NOT broken
+  UNION SELECT l_returnflag FROM items WHERE NOT broken
+  UNION SELECT 'broken' FROM messages WHERE broken)
+SELECT path, type FROM (VALUES {_SCHEMA_ROWS}, {_DETAIL_ROWS}) AS leaves(path, type, what)
+WHERE what IS NULL OR what IN (SELECT what FROM seen)""",
     "repair_tokens": f"""{_ITEMS}
 SELECT message_id, 0 AS n_broken, CAST(n_tokens AS INTEGER) AS n_repaired FROM messages""",
     "document_lengths": f"""{_ITEMS}

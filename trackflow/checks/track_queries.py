@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackflow.functions.xml import DETAIL_FIELDS, HEADER_FIELDS, POINT_FIELDS, POSITION_FIELDS
 from trackflow.operators import parsing
@@ -135,7 +136,8 @@ def valid_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def rejected_messages_query(spark: SparkSession, folder: str) -> DataFrame:
     rejected = rejected_messages(track_xml(spark, folder))
-    return rejected.select("message_id", "reject_reason", F.array_join("missing_fields", ",").alias("missing"))
+    missing = F.array_join("missing_fields", ",").alias("missing")
+    return rejected.select("message_id", "reject_reason", missing)
 
 
 def _summaries(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,13 +184,19 @@ def reparse_track_xml(spark: SparkSession, folder: str) -> DataFrame:
     return points.select("message_id", "item_uuid", "time", "lon", "lat", "elev", "speed")
 
 
+def _leaves(data_type: T.DataType, path: str = "") -> list[tuple[str, str]]:
+    """Paths and types of the leaf fields."""
+    if isinstance(data_type, T.ArrayType):
+        return _leaves(data_type.elementType, f"{path}[]")
+    if not isinstance(data_type, T.StructType):
+        return [(path.removeprefix("."), data_type.simpleString())]
+    return [leaf for f in data_type.fields for leaf in _leaves(f.dataType, f"{path}.{f.name}")]
+
+
 def infer_schema(spark: SparkSession, folder: str) -> DataFrame:
-    """The inferred schema as (field, type) rows."""
-    schema = parsing.infer_schema(track_xml(spark, folder))
-    rows = [
-        F.struct(F.lit(field.name).alias("field"), F.lit(field.dataType.simpleString()).alias("type"))
-        for field in schema.fields
-    ]
+    """The inferred schema as (path, type) rows."""
+    leaves = _leaves(parsing.infer_schema(track_xml(spark, folder)))
+    rows = [F.struct(F.lit(path).alias("path"), F.lit(kind).alias("type")) for path, kind in leaves]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 

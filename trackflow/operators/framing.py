@@ -155,6 +155,13 @@ def assign_sessions_blocked(
     return labelled.select(*sized.columns, *added)
 
 
+def line_table(lines: DataFrame) -> DataFrame:
+    """Every line with the id of its session, markers included."""
+    return lines.select(
+        "channel", "offset", F.col("session_id").alias("id"), F.col("line").alias("xml")
+    )
+
+
 def session_status(lines: DataFrame) -> DataFrame:
     """One status row per (channel, session): complete once its first END is there."""
     is_end = F.col("marker").eqNullSafe("END")

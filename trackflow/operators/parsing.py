@@ -77,13 +77,20 @@ def infer_schema(
     return T.StructType.fromJson(json.loads(reader.xml(strings).schema().json()))
 
 
-def to_documents(df: DataFrame, id_columns: list[str], body: list[str] | None = None) -> DataFrame:
-    """One JSON document per row, NULL fields left out, with an id that a re-run repeats."""
+def to_documents(
+    df: DataFrame,
+    id_columns: list[str],
+    body: list[str] | None = None,
+    random_ids: bool = False,
+) -> DataFrame:
+    """One JSON document per row, NULL fields left out, with an id that a re-run repeats.
+
+    ``random_ids`` gives each document a new id on every run; a retried write then adds copies.
+    """
     names = [name for name in df.columns if name not in id_columns] if body is None else body
+    position = F.concat_ws(":", *[F.col(name).cast("string") for name in id_columns])
     return df.select(
-        F.md5(F.concat_ws(":", *[F.col(name).cast("string") for name in id_columns])).alias(
-            "doc_id"
-        ),
+        (F.uuid() if random_ids else F.md5(position)).alias("doc_id"),
         F.to_json(F.struct(*names)).alias("json"),
     )
 
