@@ -26,7 +26,8 @@ def model(rows):
             phase = "trailing"
         else:
             phase = "end" if marker == "END" else "content"
-        session = "null" if start is None else hashlib.md5(f"{channel}:{start}".encode()).hexdigest()
+        opened = hashlib.md5(f"{channel}:{start}".encode()).hexdigest()
+        session = "null" if start is None else opened
         result.append((channel, offset, session, start, phase, ended))
         state[channel] = (start, ended or marker == "END")
     return result
@@ -93,7 +94,8 @@ def test_ids_do_not_depend_on_partitions_or_replays(spark):
 
 
 def test_other_column_names(spark):
-    df = spark.createDataFrame([(1, 0, "START"), (1, 1, None)], "part long, pos long, marker string")
+    rows = [(1, 0, "START"), (1, 1, None)]
+    df = spark.createDataFrame(rows, "part long, pos long, marker string")
     lines = assign_sessions_blocked(df, 10, channel="part", order="pos")
     assert [row.start_offset for row in lines.collect()] == [0, 0]
 
@@ -113,7 +115,7 @@ def test_status_upsert_and_delete(spark):
     schema = "id string, value boolean, deleted boolean, seq long"
     current = spark.createDataFrame([("a", False, False, 1), ("b", False, False, 1)], schema)
     changes = spark.createDataFrame(
-        [("a", True, False, 2), ("b", True, True, 3), ("c", False, False, 1), ("a", False, False, 1)],
+        [("a", True, False, 2), ("a", False, False, 1), ("b", True, True, 3), ("c", False, False, 1)],
         schema,
     )
     rows = framing.apply_status(current, changes, ["id"]).orderBy("id").collect()

@@ -37,9 +37,11 @@ def test_envelope_takes_the_text_between_the_first_two_delimiters(spark):
 
 
 def test_rows_without_envelope_value_or_position_are_kept_apart(spark):
-    rows = [("c", 0, "bare"), ("c", 1, None), (None, 2, 'h"text/plain"x'), ("c", 3, 'h"text/plain"x')]
+    good = 'h"text/plain"x'
+    rows = [("c", 0, "bare"), ("c", 1, None), (None, 2, good), ("c", 3, good)]
     df = spark.createDataFrame(rows, SCHEMA)
-    rejects = {row.offset: (row.reject_reason, row.message) for row in envelope_rejects(df).collect()}
+    found = envelope_rejects(df).collect()
+    rejects = {row.offset: (row.reject_reason, row.message) for row in found}
     assert rejects == {
         0: ("no_envelope", "bare"),
         1: ("null_value", None),
@@ -49,7 +51,8 @@ def test_rows_without_envelope_value_or_position_are_kept_apart(spark):
 
 
 def test_start_wins_over_end(spark):
-    lines = ['{"mark":"START"}', '{"mark":"END"}', '{"mark":"END","mark":"START"}', '{"mark": "END"}']
+    lines = ['{"mark":"START"}', '{"mark":"END"}', '{"mark":"END","mark":"START"}']
+    lines.append('{"mark": "END"}')
     df = spark.createDataFrame([(line,) for line in lines], "line string")
     assert [row.marker for row in mark_lines(df).collect()] == ["START", "END", "START", None]
 

@@ -97,7 +97,8 @@ def test_one_missing_child_rejects_the_whole_message(spark, name):
 def test_local_positions_need_their_origin(spark):
     no_system = LOCAL[: LOCAL.index("<localSystem>")] + "</pointDetailPosition>"
     no_origin = LOCAL.replace(f"<origin>{POSITION}</origin>", "<scale>1</scale>")
-    found = reasons(spark, message(point(no_system)), message(point(no_origin)), message(point(LOCAL)))
+    texts = [message(point(position)) for position in (no_system, no_origin, LOCAL)]
+    found = reasons(spark, *texts)
     assert found == {"0": "missing_child:localSystem", "1": "missing_child:origin"}
 
 
@@ -159,7 +160,8 @@ def test_features_are_typed_and_bad_text_gives_null(spark):
 
 
 def test_times_are_utc_in_any_session_zone(spark):
-    texts = ["2024-01-01T00:00:00", "2024-01-01T02:00:00+02:00", "2024-01-01T00:00:00.5Z", "x", None]
+    texts = ["2024-01-01T00:00:00", "2024-01-01T02:00:00+02:00", "2024-01-01T00:00:00.5Z"]
+    texts += ["x", None]
     df = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "i int, t string")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
@@ -189,19 +191,22 @@ def test_key_is_clamped_and_orders_the_corners(spark):
 
 
 def test_written_xml_parses_to_the_same_message(spark):
-    track = '<trackUUID>t</trackUUID><other k="1"><q>2</q></other>'
+    track = '<trackUUID>t</trackUUID><other k="1"><q>2 &amp; 3</q></other>'
     text = message(
         point(LOCAL, trackItemComment="a &amp; b &lt; c"),
-        '<items type="TrackObject"><n>1</n></items>',
+        '<items type="VideoInformation" k="0"/>',
+        '<items k="v" type="TrackObject"><n>1</n></items>',
+        "<items>a &amp; b</items>",
         track=track,
     )
     df = normalized(spark, text)
     written = to_track_xml(df)
     xml = written.first().track_xml
-    assert '<other k="1"><q>2</q></other>' in xml
-    assert '<items type="TrackObject"><n>1</n></items>' in xml
+    assert '<other k="1"><q>2 &amp; 3</q></other>' in xml
+    assert '<items k="v" type="TrackObject"><n>1</n></items><items>a &amp; b</items>' in xml
     assert "<extra>" not in xml and "a &amp; b &lt; c" in xml
-    again = normalize(split_valid(parse_messages(written.select("message_id", F.col("track_xml").alias("xml"))))[0])
+    texts = written.select("message_id", F.col("track_xml").alias("xml"))
+    again = normalize(split_valid(parse_messages(texts))[0])
     first, second = df.first().msg, again.first().msg
     assert first.senderId == second.senderId
     one, two = first.tracks[0]["items"], second.tracks[0]["items"]

@@ -61,8 +61,11 @@ def project_detail(detail: Column) -> Column:
     return F.when(detail.isNotNull(), F.struct(*fields, position))
 
 
-def project_item(item: Column, raw: Column) -> Column:
-    """A track point keeps exactly its named fields; any other item keeps its raw content."""
+def project_item(item: Column, raw: Column, item_no: Column) -> Column:
+    """A track point keeps exactly its named fields; any other item keeps its raw content.
+
+    ``item_no`` is the position among all items of the track, dropped ones included.
+    """
     point = is_point(item)
     fields = [F.when(point, item[name]).alias(name) for name in POINT_FIELDS]
     detail = F.when(point, project_detail(item["TrackPointDetail"])).alias("TrackPointDetail")
@@ -73,6 +76,7 @@ def project_item(item: Column, raw: Column) -> Column:
         detail,
         from_origin.alias("position_is_origin"),
         F.when(~point, raw).alias("raw"),
+        item_no.alias("item_no"),
     )
 
 
@@ -140,11 +144,20 @@ def route_items(messages: DataFrame) -> DataFrame:
     def route(track: Column, index: Column) -> Column:
         raw = F.get("raw_items", index)["items"]
         paired = F.transform(
-            track["items"], lambda item, i: F.struct(item.alias("item"), F.get(raw, i).alias("raw"))
+            track["items"],
+            lambda item, i: F.struct(
+                item.alias("item"), F.get(raw, i).alias("raw"), i.alias("item_no")
+            ),
         )
         kept = F.filter(paired, lambda pair: is_kept(pair["item"]))
-        items = F.transform(kept, lambda pair: project_item(pair["item"], pair["raw"]))
-        return F.struct(track["trackUUID"].alias("trackUUID"), items.alias("items"))
+        items = F.transform(
+            kept, lambda pair: project_item(pair["item"], pair["raw"], pair["item_no"])
+        )
+        return F.struct(
+            track["trackUUID"].alias("trackUUID"),
+            F.size(track["items"]).alias("n_items"),
+            items.alias("items"),
+        )
 
     tracks = F.transform(F.col("msg.tracks"), route)
     return held.withColumn("msg", F.col("msg").withField("tracks", tracks)).drop("raw_items")

@@ -19,12 +19,14 @@ from trackflow.functions.xml import (
     TRACK_SCHEMA,
     XML_OPTIONS,
     element,
+    markup,
     wrap,
 )
 from trackflow.operators.assembly import MAX_DOCUMENT_BYTES
 from trackflow.operators.hold import hold
 
 # One element of a track, with its content or closed in itself.
+_ITEMS_OPENING = "<items(\\s[^>]*)?>"
 _ITEMS_ELEMENT = "(?s)<items(\\s[^>]*)?/>|<items(\\s[^>]*)?>.*?</items>"
 
 
@@ -165,7 +167,8 @@ def to_track_xml(normalized: DataFrame) -> DataFrame:
     """Write each normalised message as one XML text in ``track_xml``.
 
     Track points are written from their fields.  Other items and other children of a track are
-    copied from the parsed text, tags and attributes included.
+    copied from the parsed text, tags and attributes included; a track's other children come
+    before its items.  Should text look like an item tag, an item keeps its type attribute only.
     """
     parsed = normalized.withColumn("parsed", raw_tracks(F.col("xml")))
     held = hold(parsed, "parsed", "raw_tracks")
@@ -175,12 +178,19 @@ def to_track_xml(normalized: DataFrame) -> DataFrame:
         values = F.coalesce(msg[name], F.array())
         return F.array_join(F.transform(values, lambda value: element(name, value)), "")
 
-    def item_xml(item: Column) -> Column:
-        content = F.coalesce(item["raw"], _point_xml(item))
-        return wrap("items", content, item["_type"])
-
     def track_xml(track: Column, index: Column) -> Column:
-        others = F.regexp_replace(F.get("raw_tracks", index), _ITEMS_ELEMENT, "")
+        text = F.get("raw_tracks", index)
+        others = F.regexp_replace(text, _ITEMS_ELEMENT, "")
+        others = F.replace(others, F.lit("&"), F.lit("&amp;"))
+        openings = F.regexp_extract_all(text, F.lit(_ITEMS_OPENING), F.lit(0))
+        paired = F.size(openings) == track["n_items"]
+
+        def item_xml(item: Column) -> Column:
+            opening = F.replace(F.get(openings, item["item_no"]), F.lit("&"), F.lit("&amp;"))
+            copied = F.concat(opening, markup(item["raw"]), F.lit("</items>"))
+            typed = wrap("items", F.coalesce(markup(item["raw"]), _point_xml(item)), item["_type"])
+            return F.when(paired & item["raw"].isNotNull(), copied).otherwise(typed)
+
         items = F.array_join(F.transform(track["items"], item_xml), "")
         return wrap("tracks", F.concat(F.coalesce(others, F.lit("")), F.coalesce(items, F.lit(""))))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -59,7 +59,3 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a table this library wrote itself."""
     location, files = _path(spark, path)
     files.delete(location, True)
-
-
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
