@@ -1,5 +1,7 @@
 """Every registered query against its SQL, and the contract of the entry point."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_point
@@ -19,8 +21,9 @@ def test_query_equals_its_sql(spark, folder, tables, name):
     assert differences(QUERIES[name](spark, folder), tables, ORACLES[name]) == []
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_query_of_the_tables_has_sql():
+    separate = {n for n in QUERIES if n == "pipeline" or re.match(r"op\d+_", n)}
+    assert set(QUERIES) - separate == set(ORACLES) - separate
 
 
 def test_entry_gives_rows(spark):
