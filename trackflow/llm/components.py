@@ -60,6 +60,4 @@ def connected(links: DataFrame) -> DataFrame:
         tied = rest.select(F.col("b").alias("a"), F.col("m").alias("b"))
         known = own.unionByName(tied)
         shorter = known.join(nodes, "b", "left").select("a", F.coalesce("next", "b").alias("b"))
-        pairs = cut_lineage(
-            shorter.repartition("b").mapInPandas(_contract, "a long, b long").distinct()
-        )
+        pairs = cut_lineage(shorter.mapInPandas(_contract, "a long, b long").distinct())
