@@ -5,11 +5,13 @@
 2. All sets are put in one order: by hash, with shingles that occur in a notable share of the
    documents last. Two sets that reach the threshold share a shingle among the first
    ``n - ceil(t * n) + 1`` of both. Classes with the same prefix and size form a group.
-3. Groups that meet at a prefix shingle are filtered by size and by the places of the shingle.
+3. Groups that meet at a prefix shingle are filtered by size, by the places of the shingle, and
+   by parities: each set has ``BITS`` bits, each the parity of its shingles with that hash, and
+   two sets differ in at least as many shingles as their parities differ in bits.
    First each class meets its group's leader, and each group two others at every shingle; what
    links there joins components. Then all remaining group pairs whose members lie in different
-   components are expanded and verified, so no link between components is missed.
-4. Pairs are verified on whole sets; components follow from the links.
+   components are expanded and filtered likewise, so no link between components is missed.
+4. The pairs left are verified on whole sets; components follow from the links.
 
 Hashes have 64 bits; equality of sets is judged by 128 bits.
 
@@ -34,6 +36,7 @@ from trackflow.llm.shared import cut_lineage, text_rows
 
 WORDS = 3
 PERCENT = 90
+BITS = 512
 HEAVY_SHARE = 0.001
 HEAVY_MOST = 500_000
 COUNT_AT_ONCE = 2_000_000
@@ -129,17 +132,25 @@ def _per_set(docs: DataFrame, words: int, schema: str, make) -> DataFrame:
     return per_text(docs, schema, rows)
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """The parity of the number of hashes at each of BITS places, packed into longs."""
+    counts = np.bincount((found.view(np.uint64) >> np.uint64(40)) % np.uint64(BITS), minlength=BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(docs: DataFrame, heavy: np.ndarray, words: int, percent: int) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def make(found: np.ndarray) -> tuple:
-        want = _prefix_length(len(found), percent)
-        late = np.isin(found, shipped.value, kind="sort") if len(shipped.value) else None
-        if late is not None:
+        want, common = _prefix_length(len(found), percent), shipped.value
+        bits = parities(found).tolist()
+        if len(common):
+            at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+            late = common[at] == found
             found = np.concatenate([found[~late], found[late]])
-        return (found[:want].tolist(),)
+        return found[:want].tolist(), bits
 
-    return _per_set(docs, words, "prefix array<long>", make)
+    return _per_set(docs, words, "prefix array<long>, bits array<long>", make)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -158,15 +169,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _fits(percent: int):
-    """Whether two sets meeting at these places may still reach the threshold."""
+def _fits(percent: int, places: bool = True):
+    """Whether two sets with these sizes and parities, meeting at these places of their orders,
+    may still reach the threshold."""
     sizes = F.col("n_a") + F.col("n_b")
-    rest = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
-    before = F.least("place_a", "place_b")
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    return (100 * small >= percent * large) & (
-        (100 + percent) * (before + rest) >= percent * sizes
+    differ = F.aggregate(  # of unknown parities, an empty array, zip_with makes nulls
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda s, x: s + F.coalesce(x, F.lit(0)),
+    )
+    fits = (100 * small >= percent * large) & (
+        (100 + percent) * differ <= (100 - percent) * sizes
     )
+    if not places:
+        return fits
+    rest = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
+    shared = F.least("place_a", "place_b") + rest
+    return ((100 + percent) * shared >= percent * sizes) & fits
 
 
 def jaccard_components(
@@ -211,71 +231,111 @@ def jaccard_components(
     )
 
 
+def _side(df: DataFrame, name: str, *same: str) -> DataFrame:
+    return df.select(*(F.col(c).alias(c if c in same else f"{c}_{name}") for c in df.columns))
+
+
 def _links(docs: DataFrame, prefixed: DataFrame, words: int, percent: int) -> DataFrame:
     key = ["p_hi", "p_lo", "n"]
-    groups = prefixed.groupBy(*key).agg(
-        F.min("doc_id").alias("group"), F.first("prefix").alias("prefix")
-    )
-    groups = cut_lineage(groups)
-    members = prefixed.drop("prefix").join(groups.drop("prefix"), key)
-    members = cut_lineage(members.select("doc_id", "group", "n"))
-    places = groups.select("group", "n", F.posexplode("prefix").alias("place", "token"))
-    shared = places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    places = cut_lineage(places.join(shared, "token"))
-    order = Window.partitionBy("token").orderBy("n", "group")
-    hub, before = F.min(F.struct("n", "group")).over(order), F.lag("group").over(order)
-    close = places.select("group", hub["group"].alias("hub"), before.alias("before"))
-    close = close.select("group", F.explode(F.array("hub", "before")).alias("other"))
-    pairs = members.where("doc_id <> group").select(
-        F.col("group").alias("a"), F.col("doc_id").alias("b")
+    groups = cut_lineage(
+        prefixed.groupBy(*key).agg(
+            F.min(F.struct("doc_id", "prefix", "bits")).alias("leader"), F.count("*").alias("size")
+        )
     )
-    met = close.where("other <> `group`").select(
-        F.least("group", "other").alias("a"), F.greatest("group", "other").alias("b")
+    several = groups.where("size > 1").select(*key, "leader.doc_id").withColumnsRenamed(
+        {"doc_id": "group"}
     )
-    pairs = cut_lineage(pairs.unionByName(met.distinct()))
-    # whole sets only of classes that meet another one
-    several = members.where("doc_id <> group").select("group")
-    meeting = members.join(
-        places.select("group").union(several).distinct(), "group", "left_semi"
-    ).select("doc_id")
-    wanted = text_rows(docs).join(meeting.distinct(), "doc_id", "left_semi")
-    sets = cut_lineage(
-        _per_set(wanted, words, "members array<long>", lambda found: (found.tolist(),))
-        .dropDuplicates(["doc_id"])
+    members = cut_lineage(
+        prefixed.select("doc_id", "bits", *key).join(several, key).select(
+            "doc_id", "bits", "group", "n"
+        )
     )
+    places = _places(groups)
+    pairs = cut_lineage(_first_pairs(places, members, percent))
+    sets = _sets_of(docs, pairs, words)
     links = cut_lineage(_verified(pairs, sets, percent))
     component = cut_lineage(connected(links))
-    rest = _rest(members, places, component, percent)
-    more = cut_lineage(_verified(rest, sets, percent))
+    rest = cut_lineage(_rest(groups, members, places, component, percent))
+    if rest.isEmpty():
+        return component
+    more = _verified(rest, _sets_of(docs, rest, words), percent)
     return connected(links.unionByName(more))
 
 
+def _places(groups: DataFrame) -> DataFrame:
+    """``token, group, n, place, bits``: prefix shingles that at least two groups have."""
+    leaders = groups.select("n", "leader.doc_id", "leader.prefix", "leader.bits")
+    leaders = leaders.withColumnRenamed("doc_id", "group")
+    places = leaders.select("group", "n", F.posexplode("prefix").alias("place", "token"))
+    shared = places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    met = places.join(shared, "token")
+    return cut_lineage(met.join(leaders.select("group", "bits"), "group"))
+
+
+def _first_pairs(places: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: each class with its group's leader, and each group with the first of its shingle
+    and the one before it in size."""
+    order = Window.partitionBy("token").orderBy("n", "group")
+    one = F.struct("n", "group", "bits", "place")
+    two = F.array(F.min(one).over(order), F.lag(one).over(order))
+    close = places.select(one.alias("x"), two.alias("two"))
+    close = close.select("x", F.explode("two").alias("y")).where("y is not null")
+    close = close.select(
+        *(F.col(f"{x}.{c}").alias(f"{c}_{side}") for c in ("n", "group", "bits", "place")
+          for x, side in (("y", "a"), ("x", "b")))
+    )
+    met = close.where((F.col("group_a") != F.col("group_b")) & _fits(percent)).select(
+        F.least("group_a", "group_b").alias("a"), F.greatest("group_a", "group_b").alias("b")
+    )
+    led = members.where("doc_id <> group").select(
+        F.col("group").alias("a"), F.col("doc_id").alias("b")
+    )
+    return met.distinct().unionByName(led)
+
+
+def _sets_of(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """The whole sets of the documents that the pairs name."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = text_rows(docs).join(named, "doc_id", "left_semi")
+    sets = _per_set(wanted, words, "members array<long>", lambda found: (found.tolist(),))
+    return cut_lineage(sets.dropDuplicates(["doc_id"]))
+
+
 def _rest(
-    members: DataFrame, places: DataFrame, component: DataFrame, percent: int
+    groups: DataFrame, members: DataFrame, places: DataFrame, component: DataFrame, percent: int
 ) -> DataFrame:
-    """All pairs of classes in different components whose groups may hold linked sets."""
-    known = members.join(component.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    known = cut_lineage(
-        known.select("doc_id", "group", F.coalesce("component_id", "doc_id").alias("c"))
+    """All pairs of classes in different components whose sets may be linked."""
+    component = component.withColumnRenamed("node", "doc_id")
+    single = groups.where("size = 1").select(
+        "leader.doc_id", "leader.bits", F.col("leader.doc_id").alias("group"), "n"
     )
+    known = single.unionByName(members).join(component, "doc_id", "left")
+    known = cut_lineage(known.withColumn("c", F.coalesce("component_id", "doc_id")))
     units = known.select("group", "c").distinct()
     parts = places.join(units, "group")
     mixed = parts.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-    parts = cut_lineage(parts.join(mixed.where("low < high").select("token"), "token"))
-
-    def side(df: DataFrame, name: str, *same: str) -> DataFrame:
-        return df.select(*(F.col(c).alias(c if c in same else f"{c}_{name}") for c in df.columns))
-
+    parts = parts.join(mixed.where("low < high").select("token"), "token")
+    whole = groups.where("size = 1").select(F.col("leader.doc_id").alias("group"))
+    alone = parts.join(whole, "group", "left_semi")
+    wide = parts.join(whole, "group", "left_anti")
+    # a group of one class is judged by its own parities here, a wider one when it is expanded
+    zero = F.array_repeat(F.lit(0).cast("long"), 0)
+    parts = cut_lineage(alone.unionByName(wide.withColumn("bits", zero)))
     met = (
-        side(parts, "a", "token")
-        .join(side(parts, "b", "token"), "token")
+        _side(parts, "a", "token")
+        .join(_side(parts, "b", "token"), "token")
         .where((F.col("c_a") < F.col("c_b")) & _fits(percent))
         .select("group_a", "c_a", "group_b", "c_b")
     )
-    own = side(units, "a", "group").join(side(units, "b", "group"), "group").where("c_a < c_b")
+    inner = members.select("group").distinct().join(units, "group")
+    own = _side(inner, "a", "group").join(_side(inner, "b", "group"), "group").where("c_a < c_b")
     own = own.select(F.col("group").alias("group_a"), "c_a", F.col("group").alias("group_b"), "c_b")
     met = met.unionByName(own).distinct()
-    pairs = met.join(side(known, "a"), ["group_a", "c_a"]).join(side(known, "b"), ["group_b", "c_b"])
-    return pairs.select(
+    known = known.select("doc_id", "group", "c", "n", "bits")
+    pairs = met.join(_side(known, "a"), ["group_a", "c_a"]).join(
+        _side(known, "b"), ["group_b", "c_b"]
+    )
+    return pairs.where(_fits(percent, places=False)).select(
         F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")
     ).distinct()
+
