@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
@@ -26,7 +27,7 @@ from tokenizers import Tokenizer
 
 from trackflow.llm.shared import per_text
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 CACHED_PAIRS = 500_000
 DECODE_CHUNK = 1 << 16
 
@@ -51,17 +52,26 @@ def byte_symbols() -> list[str]:
     return symbols
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Words(dict):
-    """Ids of words already met, as little-endian bytes; emptied when full."""
+    """Ids of words already met, as little-endian bytes. When full, its words become the older
+    ones, which come back when they are met again; the ones older than that are forgotten."""
 
-    def __init__(self, encode: Callable[[str], list[int]]):
+    def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
         self.encode = encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
-        value = np.array(self.encode(word), "<u4").tobytes()
+        value = self.older.get(word)
+        if value is None:
+            value = self.encode(word)
         if len(word) <= 64:
             self[word] = value
         return value
@@ -97,7 +107,8 @@ class Encoder:
                 self.rank[whole], (self.left[whole], self.right[whole]) = rank, ids
         self._compatible: dict[tuple[int, int], bool] = {}
         self._build([vocab[s] for s in known])
-        self.words = _Words(self.encode_word)
+        self.words = _Words(lambda word: _packed(self.encode_word(word)))
+        self.chunks = _Words(self.encode_chunk)
         self._offsets()
 
     def _key(self, name: str) -> str:
@@ -114,11 +125,12 @@ class Encoder:
             a, b = self.left[i], self.right[i]
             whole[i] = base or (whole[a] and whole[b] and self._walk(a, b, False))
         keys = {self._key(self.names[i]): i for i in ids if whole[i]}
+        self.whole = keys
         self.length = {i: len(key) for key, i in keys.items()}
         self.shorter: dict[int, int] = {}
         self.automaton = ahocorasick.Automaton()
         for key, i in keys.items():
-            self.automaton.add_word(key, i)
+            self.automaton.add_word(key, (len(key), i))
             for end in range(len(key) - 1, 0, -1):
                 if (prefix := keys.get(key[:end])) is not None:
                     self.shorter[i] = prefix
@@ -155,36 +167,53 @@ class Encoder:
         return found
 
     def encode_word(self, word: str) -> list[int]:
-        symbols = [self.symbols[byte] for byte in word.encode()]
-        symbols[-1] = self.ends[symbols[-1]]
-        longest = [-1] * len(symbols)
-        for end, token in self.automaton.iter("".join(symbols)):
-            start = end + 1 - self.length[token]
-            if longest[start] < 0 or self.length[token] > self.length[longest[start]]:
-                longest[start] = token
-        fits = bytearray(b"\x01") * (len(symbols) + 1)
+        if word.isascii() and word.isprintable():
+            key = word[:-1] + self.ends[word[-1]]
+        else:
+            symbols = [self.symbols[byte] for byte in word.encode()]
+            key = "".join(symbols[:-1]) + self.ends[symbols[-1]]
+        if (whole := self.whole.get(key)) is not None:
+            return [whole]
+        count, length, shorter, known = len(key), self.length, self.shorter, self._compatible
+        longest = [-1] * count
+        for end, (size, token) in self.automaton.iter(key):
+            longest[end + 1 - size] = token  # of one start, the longest ends last
+        fits = bytearray(b"\x01") * (count + 1)
         found: list[int] = []
-        at, token = 0, longest[0]
-        while at < len(symbols):
-            end = at + self.length[token]
-            if fits[end] and (not found or self.compatible(found[-1], token)):
+        at, token, last = 0, longest[0], -1
+        while at < count:
+            end = at + length[token]
+            if fits[end] and (
+                last < 0
+                or (fit := known.get((last, token)))
+                or (fit is None and self.compatible(last, token))
+            ):
                 found.append(token)
-                at = end
-                token = longest[at] if at < len(symbols) else -1
-            elif (less := self.shorter.get(token)) is not None:
+                at, last = end, token
+                token = longest[at] if at < count else -1
+            elif (less := shorter.get(token)) is not None:
                 token = less
             else:
                 fits[at] = 0
                 token = found.pop()
-                at -= self.length[token]
+                last = found[-1] if found else -1
+                at -= length[token]
         return found
 
-    def split(self, text: str) -> list[str]:
+    def encode_part(self, text: str) -> bytes:
+        """A text without special tokens. No word crosses white space, so what stands between
+        white space is looked up whole before it is cut into words."""
         if not text.isascii() and not self.safe.issuperset(found := set(text)):
             if any(unicodedata.category(c) == "Cn" for c in found):
-                return self.split_new(text)
+                return b"".join(map(self.words.__getitem__, self.split_new(text)))
             self.safe |= found
-        return _WORDS.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if any(map(text.__contains__, "\x1c\x1d\x1e\x1f")):  # white space to split() alone
+            return b"".join(map(self.words.__getitem__, _WORDS.findall(text)))
+        return b"".join(map(self.chunks.__getitem__, text.split()))
+
+    def encode_chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk)))
 
     def split_new(self, text: str) -> list[str]:
         """Words of a text with characters newer than Python's tables, cut by the library's."""
@@ -200,7 +229,7 @@ class Encoder:
             if n % 2:
                 out.append(np.array([self.added[part]], "<u4").tobytes())
             elif part:
-                out += map(self.words.__getitem__, self.split(part))
+                out.append(self.encode_part(part))
         return b"".join(out)
 
     def encode(self, text: str) -> np.ndarray:
