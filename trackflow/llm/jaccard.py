@@ -37,6 +37,8 @@ from trackflow.llm.shared import cut_lineage, text_rows
 WORDS = 3
 PERCENT = 90
 BITS = 512
+WIDE_BITS = 8_192
+BROADCAST_ROWS = 500_000
 HEAVY_SHARE = 0.001
 HEAVY_MOST = 500_000
 COUNT_AT_ONCE = 2_000_000
@@ -132,12 +134,20 @@ def _per_set(docs: DataFrame, words: int, schema: str, make) -> DataFrame:
     return per_text(docs, schema, rows)
 
 
-def parities(found: np.ndarray) -> np.ndarray:
-    """The parity of the number of hashes at each of BITS places, packed into longs."""
-    counts = np.bincount((found.view(np.uint64) >> np.uint64(40)) % np.uint64(BITS), minlength=BITS)
+def parities(found: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The parity of the number of hashes at each of so many places, packed into longs."""
+    places = (found.view(np.uint64) >> np.uint64(40)) % np.uint64(bits)
+    counts = np.bincount(places.astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
+def wide_parities(found: np.ndarray) -> np.ndarray:
+    """More parities for sets too large for BITS; none for the others."""
+    if len(found) < BITS:
+        return np.empty(0, np.int64)
+    return parities(found, WIDE_BITS)
+
+
 def _prefixes(docs: DataFrame, heavy: np.ndarray, words: int, percent: int) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(heavy)
 
@@ -154,19 +164,20 @@ def _prefixes(docs: DataFrame, heavy: np.ndarray, words: int, percent: int) -> D
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` whose sets reach the threshold."""
-
-    def side(name: str) -> DataFrame:
-        return sets.select(F.col("doc_id").alias(name), F.col("members").alias(f"of_{name}"))
-
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    either = F.size("of_a") + F.size("of_b") - both
-    return (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(100 * both >= percent * either)
-        .select("a", "b")
-    )
+    """Those of the pairs ``a, b`` whose sets reach the threshold. Parities of many bits come
+    before the sets, so that large sets move only for pairs that are likely linked."""
+
+    def joined(df: DataFrame, name: str, *columns: str) -> DataFrame:
+        named = {c: f"{c}_{name}" for c in columns}
+        own = sets.select(F.col("doc_id").alias(name), *columns).withColumnsRenamed(named)
+        return df.join(own, name)
+
+    near = joined(joined(pairs, "a", "n", "bits"), "b", "n", "bits")
+    near = near.where(_fits(percent, places=False)).select("a", "b")
+    both = F.size(F.array_intersect("members_a", "members_b"))
+    either = F.size("members_a") + F.size("members_b") - both
+    whole = joined(joined(near, "a", "members"), "b", "members")
+    return whole.where(100 * both >= percent * either).select("a", "b")
 
 
 def _fits(percent: int, places: bool = True):
@@ -251,7 +262,8 @@ def _links(docs: DataFrame, prefixed: DataFrame, words: int, percent: int) -> Da
         )
     )
     places = _places(groups)
-    pairs = cut_lineage(_first_pairs(places, members, percent))
+    bits = groups.select(F.col("leader.doc_id").alias("group"), "leader.bits")
+    pairs = cut_lineage(_first_pairs(places.join(bits, "group"), members, percent))
     sets = _sets_of(docs, pairs, words)
     links = cut_lineage(_verified(pairs, sets, percent))
     component = cut_lineage(connected(links))
@@ -263,13 +275,11 @@ def _links(docs: DataFrame, prefixed: DataFrame, words: int, percent: int) -> Da
 
 
 def _places(groups: DataFrame) -> DataFrame:
-    """``token, group, n, place, bits``: prefix shingles that at least two groups have."""
-    leaders = groups.select("n", "leader.doc_id", "leader.prefix", "leader.bits")
-    leaders = leaders.withColumnRenamed("doc_id", "group")
+    """``token, group, n, place``: prefix shingles that at least two groups have."""
+    leaders = groups.select("n", F.col("leader.doc_id").alias("group"), "leader.prefix")
     places = leaders.select("group", "n", F.posexplode("prefix").alias("place", "token"))
     shared = places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    met = places.join(shared, "token")
-    return cut_lineage(met.join(leaders.select("group", "bits"), "group"))
+    return cut_lineage(places.join(shared, "token"))
 
 
 def _first_pairs(places: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -295,9 +305,16 @@ def _first_pairs(places: DataFrame, members: DataFrame, percent: int) -> DataFra
 
 def _sets_of(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """The whole sets of the documents that the pairs name."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    named = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    if named.count() <= BROADCAST_ROWS:  # else the texts are shuffled to the ids
+        named = F.broadcast(named)
     wanted = text_rows(docs).join(named, "doc_id", "left_semi")
-    sets = _per_set(wanted, words, "members array<long>", lambda found: (found.tolist(),))
+    sets = _per_set(
+        wanted,
+        words,
+        "members array<long>, n long, bits array<long>",
+        lambda found: (found.tolist(), len(found), wide_parities(found).tolist()),
+    )
     return cut_lineage(sets.dropDuplicates(["doc_id"]))
 
 
@@ -315,12 +332,13 @@ def _rest(
     parts = places.join(units, "group")
     mixed = parts.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
     parts = parts.join(mixed.where("low < high").select("token"), "token")
-    whole = groups.where("size = 1").select(F.col("leader.doc_id").alias("group"))
-    alone = parts.join(whole, "group", "left_semi")
-    wide = parts.join(whole, "group", "left_anti")
     # a group of one class is judged by its own parities here, a wider one when it is expanded
-    zero = F.array_repeat(F.lit(0).cast("long"), 0)
-    parts = cut_lineage(alone.unionByName(wide.withColumn("bits", zero)))
+    unknown = F.array().cast("array<long>")
+    bits = groups.select(
+        F.col("leader.doc_id").alias("group"),
+        F.when(F.col("size") == 1, F.col("leader.bits")).otherwise(unknown).alias("bits"),
+    )
+    parts = parts.join(bits, "group")
     met = (
         _side(parts, "a", "token")
         .join(_side(parts, "b", "token"), "token")
