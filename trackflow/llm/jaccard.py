@@ -163,20 +163,27 @@ def _prefixes(docs: DataFrame, heavy: np.ndarray, words: int, percent: int) -> D
     return _per_set(docs, words, "prefix array<long>, bits array<long>", make)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs ``a, b`` whose sets reach the threshold. Parities of many bits come
-    before the sets, so that large sets move only for pairs that are likely linked."""
+    before the sets, so that whole sets are made and moved only for pairs likely linked."""
 
-    def joined(df: DataFrame, name: str, *columns: str) -> DataFrame:
-        named = {c: f"{c}_{name}" for c in columns}
-        own = sets.select(F.col("doc_id").alias(name), *columns).withColumnsRenamed(named)
-        return df.join(own, name)
+    def joined(df: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+        named = {c: f"{c}_{name}" for c in sets.columns if c != "doc_id"}
+        return df.join(sets.withColumnsRenamed({"doc_id": name, **named}), name)
 
-    near = joined(joined(pairs, "a", "n", "bits"), "b", "n", "bits")
-    near = near.where(_fits(percent, places=False)).select("a", "b")
+    narrow = _sets_of(
+        docs,
+        pairs,
+        words,
+        "n long, bits array<long>",
+        lambda found: (len(found), wide_parities(found).tolist()),
+    )
+    near = joined(joined(pairs, narrow, "a"), narrow, "b")
+    near = cut_lineage(near.where(_fits(percent, places=False)).select("a", "b"))
+    sets = _sets_of(docs, near, words, "members array<long>", lambda found: (found.tolist(),))
     both = F.size(F.array_intersect("members_a", "members_b"))
     either = F.size("members_a") + F.size("members_b") - both
-    whole = joined(joined(near, "a", "members"), "b", "members")
+    whole = joined(joined(near, sets, "a"), sets, "b")
     return whole.where(100 * both >= percent * either).select("a", "b")
 
 
@@ -264,13 +271,12 @@ def _links(docs: DataFrame, prefixed: DataFrame, words: int, percent: int) -> Da
     places = _places(groups)
     bits = groups.select(F.col("leader.doc_id").alias("group"), "leader.bits")
     pairs = cut_lineage(_first_pairs(places.join(bits, "group"), members, percent))
-    sets = _sets_of(docs, pairs, words)
-    links = cut_lineage(_verified(pairs, sets, percent))
+    links = cut_lineage(_verified(docs, pairs, words, percent))
     component = cut_lineage(connected(links))
     rest = cut_lineage(_rest(groups, members, places, component, percent))
     if rest.isEmpty():
         return component
-    more = _verified(rest, _sets_of(docs, rest, words), percent)
+    more = _verified(docs, rest, words, percent)
     return connected(links.unionByName(more))
 
 
@@ -303,19 +309,13 @@ def _first_pairs(places: DataFrame, members: DataFrame, percent: int) -> DataFra
     return met.distinct().unionByName(led)
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """The whole sets of the documents that the pairs name."""
+def _sets_of(docs: DataFrame, pairs: DataFrame, words: int, schema: str, make) -> DataFrame:
+    """What ``make`` gives for the set of each document that the pairs name."""
     named = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     if named.count() <= BROADCAST_ROWS:  # else the texts are shuffled to the ids
         named = F.broadcast(named)
     wanted = text_rows(docs).join(named, "doc_id", "left_semi")
-    sets = _per_set(
-        wanted,
-        words,
-        "members array<long>, n long, bits array<long>",
-        lambda found: (found.tolist(), len(found), wide_parities(found).tolist()),
-    )
-    return cut_lineage(sets.dropDuplicates(["doc_id"]))
+    return cut_lineage(_per_set(wanted, words, schema, make).dropDuplicates(["doc_id"]))
 
 
 def _rest(
