@@ -118,8 +118,18 @@ def test_status_upsert_and_delete(spark):
         [("a", True, False, 2), ("a", False, False, 1), ("b", True, True, 3), ("c", False, False, 1)],
         schema,
     )
-    rows = framing.apply_status(current, changes, ["id"]).orderBy("id").collect()
-    assert [(row.id, row.value) for row in rows] == [("a", True), ("c", False)]
+    stored = framing.apply_status(current, changes, ["id"])
+    for table in (stored, framing.apply_status(stored, current, ["id"])):  # old changes again
+        rows = framing.live_status(table).orderBy("id").collect()
+        assert [(row.id, row.value) for row in rows] == [("a", True), ("c", False)]
+
+
+def test_of_changes_with_equal_seq_the_deletion_wins(spark):
+    schema = "id string, value boolean, deleted boolean, seq bigint"
+    one = spark.createDataFrame([("a", True, False, 1)], schema)
+    two = spark.createDataFrame([("a", False, True, 1)], schema)
+    assert framing.live_status(framing.apply_status(one, two, ["id"])).isEmpty()
+    assert framing.live_status(framing.apply_status(two, one, ["id"])).isEmpty()
 
 
 def test_semi_join_gives_the_lines_of_listed_sessions(spark):

@@ -95,7 +95,10 @@ def unclosed_sessions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def apply_status(spark: SparkSession, folder: str) -> DataFrame:
-    """START inserts false, the first END sets true, a further END deletes."""
+    """START inserts false, the first END sets true, a further END deletes.
+
+    The changes come out of order, and then all of them once more.
+    """
     lines = session_lines(raw_messages(spark, folder)).where("start_offset IS NOT NULL")
     changes = lines.where("marker IS NOT NULL").select(
         "channel",
@@ -104,9 +107,9 @@ def apply_status(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("phase") == "trailing").alias("deleted"),
         F.col("offset").alias("seq"),
     )
-    return framing.apply_status(
-        changes.where("NOT value"), changes.where("value"), ["channel", "session_id"]
-    )
+    key = ["channel", "session_id"]
+    stored = framing.apply_status(changes.where("value"), changes.where("NOT value"), key)
+    return framing.live_status(framing.apply_status(stored, changes, key))
 
 
 def session_lines_for(spark: SparkSession, folder: str) -> DataFrame:

@@ -168,8 +168,8 @@ def concat_json(spark: SparkSession, folder: str) -> DataFrame:
             )
         ).alias("json"),
     )
-    whole, _ = parsing.concat_json(items, ["message_id"], "item_idx")
-    return whole.withColumn("n_rows", F.col("n_rows").cast("bigint"))
+    glued = parsing.concat_json(items, ["message_id"], "item_idx")
+    return glued.withColumn("n_rows", F.col("n_rows").cast("bigint"))
 
 
 def to_track_xml(spark: SparkSession, folder: str) -> DataFrame:

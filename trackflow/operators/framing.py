@@ -198,17 +198,24 @@ def unclosed_sessions(status: DataFrame) -> DataFrame:
 def apply_status(current: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
     """Upsert and delete in a keyed table: per key the row with the highest ``seq`` wins.
 
-    Both sides carry the key, ``value``, ``deleted`` and ``seq``.  A winning row that is marked
-    deleted takes its key out of the result.
+    Both sides carry the key, ``value``, ``deleted`` and ``seq``, and so does the result, the
+    table to store: deleted keys stay in it, marked, so that changes may come again or out of
+    order.  ``live_status`` reads it.  Among rows of equal ``seq`` a deletion wins, then the
+    greater value.
     """
     columns = [*key, "value", "deleted", "seq"]
     latest = (
         current.select(*columns)
         .unionByName(changes.select(*columns))
         .groupBy(*key)
-        .agg(F.max_by(F.struct("value", "deleted", "seq"), "seq").alias("latest"))
+        .agg(F.max(F.struct("seq", "deleted", "value")).alias("latest"))
     )
-    return latest.where("NOT latest.deleted").select(*key, "latest.value", "latest.seq")
+    return latest.select(*key, *[f"latest.{name}" for name in ("value", "deleted", "seq")])
+
+
+def live_status(stored: DataFrame) -> DataFrame:
+    """The keys of a stored status table that are not deleted."""
+    return stored.where("NOT deleted").drop("deleted")
 
 
 def session_lines_for(lines: DataFrame, ids: DataFrame) -> DataFrame:

@@ -22,7 +22,6 @@ from trackflow.functions.xml import (
     markup,
     wrap,
 )
-from trackflow.operators.assembly import MAX_DOCUMENT_BYTES
 from trackflow.operators.hold import hold
 
 # One element of a track, with its content or closed in itself.
@@ -98,33 +97,15 @@ def to_documents(
 
 
 def concat_json(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    json_column: str = "json",
-    max_document_bytes: int = MAX_DOCUMENT_BYTES,
-) -> tuple[DataFrame, DataFrame]:
-    """Glue the JSON texts of each key in order, without a separator.
-
-    Returns the glued rows and the rows of the keys whose text is above the limit.  Sizes come
-    first, so no group above the limit is ever collected.  Keys above the limit number at most
-    total bytes / limit; from the default limit up that is few enough to broadcast, which
-    keeps their rows out of the shuffle.
-    """
-    sizes = df.groupBy(*keys).agg(
-        F.sum(F.octet_length(json_column).cast("bigint")).alias("n_bytes")
-    )
-    big = sizes.where(F.col("n_bytes") > max_document_bytes).select(*keys)
-    if max_document_bytes >= MAX_DOCUMENT_BYTES:
-        big = F.broadcast(big)
-    small = df.join(big, keys, "left_anti")
+    df: DataFrame, keys: list[str], order: str, json_column: str = "json"
+) -> DataFrame:
+    """Glue the JSON texts of each key in order, without a separator, into one row a key."""
     pieces = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(json_column))))
-    glued = small.groupBy(*keys).agg(pieces.alias("pieces"))
+    glued = df.groupBy(*keys).agg(pieces.alias("pieces"))
     texts = F.transform("pieces", lambda piece: piece[json_column])
-    whole = glued.select(
+    return glued.select(
         *keys, F.size("pieces").alias("n_rows"), F.array_join(texts, "").alias("json")
     )
-    return whole, df.join(big, keys, "left_semi")
 
 
 def _position_xml(position: Column) -> list[Column]:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from trackflow.functions.text import ENVELOPE_DELIMITER, PROLOG
 from trackflow.operators.hold import hold
 
-# An order with more items becomes several messages, so that no message outgrows a row.
-ITEMS_PER_MESSAGE = 10_000
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -151,7 +148,7 @@ def _item_line(item: Column, number: Column) -> Column:
 
 
 def _items_of_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items per message, sorted.  An outsize order is cut by a hash of its items."""
+    """The line items of each order, sorted."""
     columns = [
         "l_linenumber",
         "l_partkey",
@@ -165,17 +162,8 @@ def _items_of_orders(spark: SparkSession, folder: str) -> DataFrame:
         "l_linestatus",
     ]
     items = table(spark, folder, "lineitem").select(*columns)
-    outsize = (
-        items.groupBy("l_orderkey")
-        .agg(F.ceil(F.count("*") / ITEMS_PER_MESSAGE).alias("n_parts"))
-        .where("n_parts > 1")
-    )
-    cut = items.join(outsize, "l_orderkey", "left")
-    part = F.coalesce(F.pmod(F.xxhash64(*columns), F.col("n_parts")), F.lit(0))
-    return (
-        cut.withColumn("part", part)
-        .groupBy("l_orderkey", "part")
-        .agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("items"))
+    return items.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct(*columns))).alias("items")
     )
 
 
@@ -185,9 +173,7 @@ def track_lines(spark: SparkSession, folder: str) -> DataFrame:
     items = _items_of_orders(spark, folder)
     joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     order_text = F.col("o_orderkey").cast("string")
-    message_id = F.when(F.col("part") == 0, F.concat(F.lit("m"), order_text)).otherwise(
-        F.concat_ws(".", F.concat(F.lit("m"), order_text), F.col("part").cast("string"))
-    )
+    message_id = F.concat(F.lit("m"), order_text)
     header = F.array(
         F.lit('<TrackMessage version="1">'),
         _constant("messageSecurity", "UNCLASSIFIED"),

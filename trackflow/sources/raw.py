@@ -8,9 +8,6 @@ from pyspark.sql.types import StructType
 
 RAW_SCHEMA = "channel string, offset long, value string"
 
-# Bounds one micro-batch, unless the caller sets a bound.
-STREAM_LIMITS = {"kafka": {"maxOffsetsPerTrigger": "50000000"}}
-
 
 def read_raw(
     spark: SparkSession,
@@ -24,11 +21,10 @@ def read_raw(
 
     ``kafka`` takes its usual options (``kafka.bootstrap.servers``, ``subscribe``) and gives
     ``channel`` = topic and partition.  File formats give the columns of the files; a stream
-    of files needs ``schema``.
+    of files needs ``schema``.  Nothing bounds a micro-batch unless the source's own option does
+    (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
     """
     reader = spark.readStream if streaming else spark.read
-    if streaming:
-        options = {**STREAM_LIMITS.get(format, {}), **options}
     reader = reader.format(format).options(**options)
     if format == "kafka":
         return kafka_messages(reader.load())
