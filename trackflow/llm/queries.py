@@ -10,8 +10,23 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import bpe, jaccard, langid, linededup, neardup, packing, pii, secrets, sharding
+from trackflow.llm import (
+    bpe,
+    jaccard,
+    langid,
+    linededup,
+    merkle,
+    neardup,
+    packing,
+    pii,
+    repair,
+    secrets,
+    sharding,
+    urls,
+)
 from trackflow.llm import topk as search
+from trackflow.llm.manifest_sql import crc32_of, manifest_sql
+from trackflow.llm.repair_sql import REPAIR
 from trackflow.llm.shared import cut_lineage, ship_package, table, whole_text
 from trackflow.session import shared_folder
 
@@ -126,6 +141,42 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    text, chance = F.col("text"), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    altered = F.when(chance % 2 == 0, F.replace(text, F.lit("\n"))).otherwise(text)
+    proved = merkle.document_manifest(table(spark, folder, "documents"), altered)
+    proof = F.sha2(merkle.proof_text(F.col("path")), 256)
+    root = merkle.folded(F.col("found"), F.col("path"))
+    rows = proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof.alias("proof_sha256"),
+        root.alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = repair.damaged(table(spark, folder, "conversations"))
+    return repair.repair_report(turns, F.col("gone"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship_package(spark)
@@ -135,7 +186,13 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]):
 
 
 #: Queries with the same rows from SQL; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_merkle_manifest": manifest_sql(
+        f"CASE WHEN {crc32_of('CAST(doc_id AS VARCHAR)')} % 2 = 0"
+        " THEN replace(text, chr(10), '') ELSE text END"
+    ),
+    "op13_conversation_repair": REPAIR,
+}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
@@ -150,5 +207,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_hypergeometric_sharding,
         op9_personal_data,
         op10_exact_top_k,
+        op11_url_filter,
+        op12_merkle_manifest,
+        op13_conversation_repair,
     )
 }
