@@ -10,7 +10,8 @@ from trackflow.checks import track_queries
 from trackflow.operators.features import st_index
 from trackflow.operators.sinks import write_features
 from trackflow.plans.documents import documents, marked_lines, session_lines, staged
-from trackflow.plans.tracks import normalized_messages, rejected_messages
+from trackflow.plans.outputs import read_output, tagged_outputs, write_outputs
+from trackflow.plans.tracks import indexed_track_points, normalized_messages, rejected_messages
 from trackflow.session import shared_folder
 from trackflow.sources.adapters import raw_messages
 
@@ -80,10 +81,24 @@ def test_staged_table_lies_in_the_shared_folder(spark, messages):
 def test_a_message_is_parsed_once(xml):
     plan = plan_of(normalized_messages(xml))
     typed = [line for line in plan.splitlines() if "from_xml(StructField(messageSecurity" in line]
-    raw = [line for line in plan.splitlines() if "from_xml(StructField(tracks" in line]
     assert len(typed) == 1 and typed[0].count("from_xml(StructField(messageSecurity") == 1
-    assert len(raw) == 1 and raw[0].count("from_xml(StructField(tracks") == 1
-    assert "CASE WHEN exists" in raw[0]
+    assert plan.count("regexp_extract_all") > 1 and "CASE WHEN exists" in plan
+
+
+def test_track_points_need_the_typed_parse_only(xml):
+    plan = plan_of(indexed_track_points(xml))
+    assert plan.count("from_xml(") == 1 and plan.count("regexp_extract_all") == 1  # of the roots
+
+
+def test_all_outputs_come_from_one_pass(spark, xml, tmp_path):
+    plan = plan_of(tagged_outputs(xml, ["message_id"]))
+    assert plan.count("from_xml(StructField(messageSecurity") == 1
+    assert plan.count("from_xml(VariantType") == 1 and plan.count("from_xml(") == 2
+    assert "Exchange" not in plan and not PYTHON_NODES.search(plan)
+    path = str(tmp_path / "outputs")
+    write_outputs(xml, path, ["message_id"])
+    read = plan_of(read_output(spark, path, "point"))
+    assert re.search(r"PartitionFilters: \[[^\]]*kind#\d+ = point", read)
 
 
 def test_rejects_need_no_second_parse(xml):
@@ -97,7 +112,8 @@ def test_normalisation_needs_no_shuffle(xml):
 @pytest.mark.parametrize(
     "name",
     ["assemble", "assign_sessions", "session_lines_for", "apply_status", "track_points",
-     "rejected_messages", "concat_json", "to_track_xml", "sql_functions"],
+     "rejected_messages", "concat_json", "to_track_xml", "sql_functions",
+     "message_json", "rewrite_track_xml", "track_children"],
 )
 def test_no_python_in_the_plan(spark, folder, name):
     assert not PYTHON_NODES.search(plan_of(entry_point.queries()[name](spark, folder)))

@@ -1,7 +1,9 @@
 """Parsing, normalisation, rejection and features of hand-written messages."""
 
 import datetime
+import hashlib
 import json
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,10 +16,12 @@ from trackflow.operators.normalize import normalize, split_valid
 from trackflow.operators.parsing import (
     concat_json,
     infer_schema,
+    json_documents,
     parse_messages,
     to_documents,
-    to_track_xml,
 )
+from trackflow.operators.rewrite import rewrite, to_track_xml, track_children
+from trackflow.plans.outputs import tagged_outputs
 
 POSITION = "<latitude>1.5</latitude><longitude>2.5</longitude><elevation>3</elevation>"
 GEODETIC = f'<pointDetailPosition type="GeodeticPosition">{POSITION}</pointDetailPosition>'
@@ -190,29 +194,113 @@ def test_key_is_clamped_and_orders_the_corners(spark):
     assert spark.range(1).select(year_cell(last)).first()[0] == 65535
 
 
-def test_written_xml_parses_to_the_same_message(spark):
-    track = '<trackUUID>t</trackUUID><other k="1"><q>2 &amp; 3</q></other>'
+def tree(node):
+    """An element with its attributes, text and children; comments are not there."""
+    return (
+        node.tag, sorted(node.attrib.items()), node.text or "", node.tail or "",
+        [tree(child) for child in node],
+    )
+
+
+ODD_CONTENT = [
+    '<other k="1"><q>2 &amp; 3</q></other>',
+    "<o a='x > \"y\"' b=\"it's\"/>",
+    "<o><![CDATA[</tracks><items type=\"TrackPoint\">]]></o>",
+    "<o>&lt;items&gt;<items><items type='a'>n</items></items></o>",
+    "<!-- <items type='TrackPoint'> --><o type='VideoInformation'>\n <p/>\t</o>",
+    "<?tool <x> ?><o>mixed <b>text</b> tail<b/></o>",
+    "<itemsMore>1</itemsMore><o xmlns:n='u'><n:a n:type='x'>é😀</n:a></o>",
+]
+
+
+@pytest.mark.parametrize("content", ODD_CONTENT)
+def test_written_xml_is_the_tree_of_the_message(spark, content):
+    extra = POSITION + content
+    local = LOCAL.replace(f"<origin>{POSITION}</origin>", f"<origin>{extra}</origin>")
+    item = f'<items k="v" type="TrackObject">{content}</items>'
+    comment = "a &amp; b &lt; c<![CDATA[</items>]]>"
     text = message(
-        point(LOCAL, trackItemComment="a &amp; b &lt; c"),
-        '<items type="VideoInformation" k="0"/>',
-        '<items k="v" type="TrackObject"><n>1</n></items>',
-        "<items>a &amp; b</items>",
-        track=track,
+        point(local, trackItemComment=comment), '<items type="VideoInformation" k="0"/>', item,
+        point(without=[]), header='<senderId a="&quot;">b</senderId><x/><messageSecurity/>',
+        track=content + "<trackUUID>t</trackUUID>",
+    )
+    written = to_track_xml(split_valid(parsed(spark, "<?xml version='1.0'?>\n" + text))[0])
+    before = ElementTree.fromstring(text)
+    track = before.find("tracks")
+    track.attrib.clear()
+    for found in list(track):
+        if found.tag == "items" and found.get("type") == "VideoInformation":
+            track.remove(found)
+    for found in track.findall("items[@type='TrackPoint']"):
+        found.remove(found.find("extra"))
+        position = found.find("TrackPointDetail/pointDetailPosition")
+        if position.get("type") == "LocalCartesianPosition":
+            origin = position.find("localSystem/origin")
+            for child in list(position):
+                position.remove(child)
+            position.set("type", "GeodeticPosition")
+            position.extend(list(origin))
+    before.attrib.clear()
+    order = {"messageSecurity": 0, "senderId": 1, "tracks": 2}
+    before[:] = sorted((c for c in before if c.tag in order), key=lambda c: order[c.tag])
+    after = ElementTree.fromstring(written.first().track_xml)
+    assert tree(after) == tree(before)
+
+
+def test_track_children_keep_their_order_and_text(spark):
+    track = '<a k="1">&amp;</a><items type="VideoInformation"/><items>u</items><a/><items type="X"/>'
+    valid = split_valid(parsed(spark, message(track=track)))[0]
+    rows = track_children(rewrite(valid), ["message_id"]).orderBy("child_idx").collect()
+    assert [(row.name, row.type, row.xml) for row in rows] == [
+        ("a", None, '<a k="1">&amp;</a>'), ("items", None, "<items>u</items>"),
+        ("a", None, "<a/>"), ("items", "X", '<items type="X"/>'),
+    ]
+
+
+def test_a_message_with_very_many_elements(spark):
+    many = "<note>1</note>" * 60_000 + "<open>" * 40 + "</open>" * 40
+    valid = split_valid(parsed(spark, message(f"<items>{many}</items>", point())))[0]
+    rows = track_children(rewrite(valid), []).orderBy("child_idx").collect()
+    assert rows[1].xml == f"<items>{many}</items>" and rows[2].type == "TrackPoint"
+
+
+def test_messages_in_comments_do_not_count(spark):
+    text = "<!-- <TrackMessage> -->" + message("<items><![CDATA[<TrackMessage>]]></items>")
+    assert reasons(spark, text, message() + "<!-- x -->") == {}
+
+
+def test_whole_documents_as_json(spark):
+    texts = [
+        message(point(without=["trackPointCourse"])),  # no valid point, but a document
+        '<TrackMessage a="1"><n>007</n><f>2.50</f><t>true</t><e/><s>x ":null, y</s></TrackMessage>',
+        "<TrackMessage><i/><i>1</i><i>2</i><m>a<b/>c</m></TrackMessage>",
+        "<TrackMessage><a>", None, "<a/>",
+    ]
+    df = spark.createDataFrame([(str(i), x) for i, x in enumerate(texts)], "id string, xml string")
+    found = {row.doc_id: json.loads(row.json) for row in json_documents(df, ["id"]).collect()}
+    bodies = [found.get(hashlib.md5(str(i).encode()).hexdigest()) for i in range(len(texts))]
+    assert bodies[0]["tracks"]["items"]["trackPointType"] == 1
+    assert bodies[1] == {"_a": 1, "n": 7, "f": 2.5, "t": True, "s": 'x ":null, y'}
+    assert bodies[2]["i"] == [None, 1, 2] and bodies[2]["m"]["_VALUE"] == ["a", "c"]
+    assert bodies[3:] == [None, None, None]
+
+
+def test_outputs_of_one_pass_equal_the_single_ones(spark):
+    texts = [message(point(LOCAL), point()), message(point(without=["trackPointSpeed"])), "<a", None]
+    df = spark.createDataFrame(
+        [(str(i), x) for i, x in enumerate(texts)], "message_id string, xml string"
+    )
+    rows = tagged_outputs(df, ["message_id"]).collect()
+    kinds = sorted((row.kind, row.message_id) for row in rows)
+    assert kinds == [
+        ("document", "0"), ("document", "1"), ("point", "0"), ("point", "0"),
+        ("rejected", "1"), ("rejected", "2"), ("rejected", "3"),
+    ]
+    single = st_index(track_points(normalized(spark, *texts)))
+    points = [row for row in rows if row.kind == "point"]
+    assert sorted(map(str, (tuple(row[name] for name in single.columns) for row in points))) == (
+        sorted(map(str, map(tuple, single.collect())))
     )
-    df = normalized(spark, text)
-    written = to_track_xml(df)
-    xml = written.first().track_xml
-    assert '<other k="1"><q>2 &amp; 3</q></other>' in xml
-    assert '<items k="v" type="TrackObject"><n>1</n></items><items>a &amp; b</items>' in xml
-    assert "<extra>" not in xml and "a &amp; b &lt; c" in xml
-    texts = written.select("message_id", F.col("track_xml").alias("xml"))
-    again = normalize(split_valid(parse_messages(texts))[0])
-    first, second = df.first().msg, again.first().msg
-    assert first.senderId == second.senderId
-    one, two = first.tracks[0]["items"], second.tracks[0]["items"]
-    assert [item.raw for item in one] == [item.raw for item in two]
-    assert one[0].TrackPointDetail == two[0].TrackPointDetail
-    assert one[0].trackItemComment == two[0].trackItemComment == "a & b < c"
 
 
 def test_json_leaves_null_fields_out_and_ids_repeat(spark):

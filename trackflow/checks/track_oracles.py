@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from trackflow.checks.message_oracles import morton_cells, spread_columns
+from trackflow.sources.adapters import RICH
 
 # Items of all orders that have any, numbered as in the messages; kept_idx leaves out videos.
 _ITEMS = """
@@ -49,19 +50,54 @@ FROM {spread_columns(f'(SELECT *, {morton_cells("lon", "lat", chr(34) + "time" +
 
 _SUMMARY = """
 summaries AS (
-  SELECT m.message_id, m.o_custkey, count(k.kind) AS n_items,
-    arg_min(CASE WHEN k.kind = 'TrackObject' THEN '<note>n' || k.l_linenumber || '</note>' END,
-      CASE WHEN k.kind = 'TrackObject' THEN k.item_no END) AS note
+  SELECT m.message_id, m.o_custkey, count(k.kind) AS n_items
   FROM messages m LEFT JOIN kept k ON m.message_id = k.message_id
-  WHERE NOT m.broken AND NOT m.lacks_course GROUP BY m.message_id, m.o_custkey),
-bodies AS (
-  SELECT md5(message_id) AS doc_id, '{"sender":"c' || o_custkey || '","n_items":' || n_items
-    || CASE WHEN note IS NULL THEN '' ELSE ',"note":"' || note || '"' END || '}' AS json
-  FROM summaries)
+  WHERE NOT m.broken AND NOT m.lacks_course GROUP BY m.message_id, m.o_custkey)
 """
 
 _WITH_SUMMARY = f"{_ITEMS.rstrip()},{_SUMMARY}"
 
+
+def _number(text: str) -> str:
+    """A decimal as JSON has it: without zeros at its end."""
+    return f"CASE WHEN contains({text}, '.') THEN rtrim(rtrim({text}, '0'), '.') ELSE {text} END"
+
+
+_POSITION_JSON = (
+    f"""'"elevation":' || elev || ',"latitude":' || {_number("lat")} || ',"longitude":'"""
+    f""" || {_number("lon")}"""
+)
+
+# The whole of an item as the message has it, repaired nowhere.
+_ITEM_JSON = f"""
+CASE kind WHEN 'VideoInformation' THEN '{{"_type":"VideoInformation","frame":1}}'
+  WHEN 'TrackObject' THEN '{{"_type":"TrackObject","note":"n' || l_linenumber || '"}}'
+ELSE '{{"TrackPointDetail":{{"pointDetailCovarianceMatrix":{{"c":0}},"pointDetailPosition":'
+  || CASE l_returnflag WHEN 'A' THEN
+    '{{"_type":"LocalCartesianPosition","localSystem":{{"origin":{{' || {_POSITION_JSON}
+    || '}}}},"x":1,"y":2,"z":3}}'
+    ELSE '{{"_type":"GeodeticPosition",' || {_POSITION_JSON} || '}}' END
+  || ',"pointDetailVelocity":{{"vx":1}}}},"_type":"TrackPoint","ignored":1,'
+  || '"trackItemSecurity":{{"level":"UNCLASSIFIED"}},"trackItemSource":"radar","trackItemTime":"'
+  || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') || '","trackItemUUID":"p' || l_orderkey || '-'
+  || item_no || '",' || CASE WHEN no_course THEN '' ELSE '"trackPointCourse":' || course || ',' END
+  || '"trackPointObjectMask":"NONE","trackPointPosition":{{' || {_POSITION_JSON}
+  || '}},"trackPointSource":"' || replace(source, '_', ' ') || '","trackPointSpeed":'
+  || {_number("speed")} || ',"trackPointType":"MEASURED"}}' END"""
+
+_WITH_BODIES = f"""{_ITEMS.rstrip()},
+bodies AS (
+  SELECT m.message_id, md5(m.message_id) AS doc_id,
+    '{{"_version":1,"junk":"x","messageSecurity":"UNCLASSIFIED","msgCreatedTime":"'
+    || strftime(m.o_orderdate, '%Y-%m-%dT%H:%M:%S') || '","senderId":"c' || m.o_custkey
+    || '","stanagVersion":3,"tracks":{{"items":'
+    || CASE WHEN m.n_items = 1 THEN min({_ITEM_JSON})
+       ELSE '[' || string_agg({_ITEM_JSON}, ',' ORDER BY i.item_no) || ']' END
+    || ',"trackUUID":"t' || m.o_orderkey || '"}}}}' AS json
+  FROM messages m JOIN items i ON m.message_id = i.message_id
+  WHERE NOT m.broken GROUP BY m.message_id, m.o_orderdate, m.o_custkey, m.o_orderkey, m.n_items)
+"""
+
 _POSITION_XML = (
     "'<latitude>' || lat || '</latitude><longitude>' || lon || '</longitude><elevation>'"
     " || elev || '</elevation>'"
@@ -85,6 +121,31 @@ ELSE '<items type="TrackPoint"><trackItemUUID>' || uuid || '</trackItemUUID>'
   || '<pointDetailPosition type="GeodeticPosition">' || {_POSITION_XML}
   || '</pointDetailPosition></TrackPointDetail></items>' END"""
 
+_MESSAGE_XML = f"""{_ITEMS},
+bodies AS (
+  SELECT m.*, coalesce(string_agg({_ITEM_XML}, '' ORDER BY kept_idx)
+    FILTER (k.message_id IS NOT NULL), '') AS body
+  FROM messages m LEFT JOIN kept k ON m.message_id = k.message_id
+  WHERE NOT m.broken AND NOT m.lacks_course GROUP BY ALL)
+SELECT message_id, '<TrackMessage><messageSecurity>UNCLASSIFIED</messageSecurity>'
+  || '<msgCreatedTime>' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '</msgCreatedTime>'
+  || '<stanagVersion>3.0</stanagVersion><senderId>c' || o_custkey || '</senderId><tracks>'
+  || '<trackUUID>t' || o_orderkey || '</trackUUID>' || body || '</tracks></TrackMessage>'
+  AS track_xml
+FROM bodies"""
+
+
+def _rich(sql: str) -> str:
+    """SQL that writes messages with the extra content; attributes of a track do not stay."""
+    for plain, rich in RICH.items():
+        kept = rich.replace('<tracks n="1"><!-- <items type="x"> -->', "<tracks>")
+        sql = sql.replace(plain, kept.replace("'", "''"))
+    return sql
+
+
+_STATUS = RICH["<tracks>"].split("-->")[1]
+_LAST = RICH["</tracks>"].removesuffix("</tracks>")
+
 _FEATURES = f"""{_ITEMS}
 SELECT {_TYPED}, CAST(time_bin AS BIGINT) AS time_bin, st_key FROM {_KEYED}"""
 
@@ -187,25 +248,36 @@ SELECT message_id,
     AS reject_reason,
   CASE WHEN broken THEN '' ELSE 'trackPointCourse' END AS missing
 FROM messages WHERE broken OR lacks_course""",
-    "message_json": f"{_WITH_SUMMARY} SELECT doc_id, json FROM bodies",
+    "message_json": f"{_WITH_BODIES} SELECT doc_id, json FROM bodies",
     "concat_json": f"""{_ITEMS}
 SELECT message_id, count(*) AS n_rows,
   string_agg('{{"type":"' || kind || '"'
     || CASE kind WHEN 'TrackPoint' THEN ',"uuid":"' || uuid || '"' ELSE '' END || '}}', ''
     ORDER BY kept_idx) AS json
 FROM kept GROUP BY message_id""",
-    "to_track_xml": f"""{_ITEMS},
-bodies AS (
-  SELECT m.*, coalesce(string_agg({_ITEM_XML}, '' ORDER BY kept_idx)
-    FILTER (k.message_id IS NOT NULL), '') AS body
-  FROM messages m LEFT JOIN kept k ON m.message_id = k.message_id
-  WHERE NOT m.broken AND NOT m.lacks_course GROUP BY ALL)
-SELECT message_id, '<TrackMessage><messageSecurity>UNCLASSIFIED</messageSecurity>'
-  || '<msgCreatedTime>' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '</msgCreatedTime>'
-  || '<stanagVersion>3.0</stanagVersion><senderId>c' || o_custkey || '</senderId><tracks>'
-  || '<trackUUID>t' || o_orderkey || '</trackUUID>' || body || '</tracks></TrackMessage>'
-  AS track_xml
-FROM bodies""",
+    "to_track_xml": _MESSAGE_XML,
+    "rewrite_track_xml": _rich(_MESSAGE_XML),
+    "track_children": _rich(
+        f"""{_ITEMS}, children AS (
+  SELECT message_id, kept_idx + 2 AS child_idx, 'items' AS name, kind AS type, {_ITEM_XML} AS xml
+  FROM kept
+  UNION ALL SELECT message_id, 1, 'trackUUID', NULL,
+    '<trackUUID>t' || o_orderkey || '</trackUUID>'
+  FROM messages WHERE NOT broken AND NOT lacks_course
+  UNION ALL SELECT message_id, 0, 'trackStatus', NULL, '{_STATUS}'
+  FROM messages WHERE NOT broken AND NOT lacks_course
+  UNION ALL SELECT m.message_id, 2 + count(k.kind), 'last', NULL, '{_LAST}'
+  FROM messages m LEFT JOIN kept k ON k.message_id = m.message_id
+  WHERE NOT m.broken AND NOT m.lacks_course GROUP BY m.message_id)
+SELECT message_id, CAST(0 AS BIGINT) AS track_idx, CAST(child_idx AS BIGINT) AS child_idx, name,
+  type, xml
+FROM children"""
+    ),
+    "raw_items": _rich(
+        f"""{_ITEMS}
+SELECT message_id, item_no - 1 AS item_no, '<note>n' || l_linenumber || '</note>' AS raw
+FROM kept WHERE kind = 'TrackObject'"""
+    ),
     "reparse_track_xml": f"""{_ITEMS}
 SELECT message_id, item_uuid, "time", lon, lat, elev, speed FROM typed""",
     "track_points": f"{_ITEMS} SELECT {_TYPED}, item_idx, track_uuid FROM typed",
@@ -213,14 +285,22 @@ SELECT message_id, item_uuid, "time", lon, lat, elev, speed FROM typed""",
 SELECT item_uuid, CAST(time_bin AS BIGINT) AS time_bin, st_key FROM {_KEYED}""",
     "lines_to_track_points": f"{_ITEMS} SELECT {_TYPED}, st_key FROM {_KEYED}",
     "feature_sink": _FEATURES,
-    "document_sink": f"""{_WITH_SUMMARY}
+    "document_sink": f"""{_WITH_BODIES}
 SELECT 'lake' AS "index", 'track_message' AS type, doc_id, json AS body FROM bodies""",
     "message_sink": f"""{_WITH_SUMMARY}
 SELECT message_id, 'c' || o_custkey AS sender, n_items FROM summaries""",
-    "fan_out": f"""{_ITEMS}
-SELECT 'document' AS sink, md5(message_id) AS id FROM messages
-WHERE NOT broken AND NOT lacks_course
-UNION ALL SELECT 'feature' AS sink, item_uuid AS id FROM typed""",
+    "fan_out": f"""{_WITH_BODIES}
+SELECT 'document' AS sink, doc_id AS id, json AS body FROM bodies
+UNION ALL SELECT 'feature' AS sink, item_uuid AS id, CAST(st_key AS VARCHAR) AS body
+FROM {_KEYED}""",
+    "tagged_outputs": f"""{_WITH_BODIES}
+SELECT 'document' AS kind, message_id, doc_id AS name, json AS value FROM bodies
+UNION ALL SELECT 'rejected' AS kind, message_id, NULL AS name,
+  CASE WHEN broken THEN 'malformed_xml' ELSE 'missing_child:trackPointCourse' END AS value
+FROM messages WHERE broken OR lacks_course
+UNION ALL SELECT 'point' AS kind, message_id, item_uuid AS name,
+  concat_ws(':', time_bin, st_key, 0, item_idx, track_uuid, '') AS value
+FROM {_KEYED}""",
     "sink_report": f"""{_ITEMS}
 SELECT count(*) FILTER (NOT broken) AS n_accepted, count(*) FILTER (broken) AS n_rejected
 FROM messages""",

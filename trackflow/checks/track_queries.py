@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackflow.functions.xml import DETAIL_FIELDS, HEADER_FIELDS, POINT_FIELDS, POSITION_FIELDS
-from trackflow.operators import parsing
+from trackflow.operators import parsing, rewrite
 from trackflow.operators.assembly import document_stats, repair_documents
 from trackflow.operators.features import message_items, st_index, track_points
 from trackflow.operators.normalize import (
@@ -24,10 +24,16 @@ from trackflow.operators.sinks import (
     write_features,
     write_messages,
 )
+from trackflow.plans import outputs
 from trackflow.plans.documents import documents
-from trackflow.plans.tracks import indexed_track_points, normalized_messages, rejected_messages
+from trackflow.plans.tracks import (
+    indexed_track_points,
+    normalized_messages,
+    rejected_messages,
+    valid_messages,
+)
 from trackflow.session import shared_folder
-from trackflow.sources.adapters import track_messages, track_xml
+from trackflow.sources.adapters import rich_track_xml, track_messages, track_xml
 
 
 def _messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,7 +41,7 @@ def _messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _valid(spark: SparkSession, folder: str) -> DataFrame:
-    return split_valid(_messages(spark, folder))[0]
+    return valid_messages(track_xml(spark, folder))
 
 
 def _normalized(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,7 +136,7 @@ def geodetic_position_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def valid_messages(spark: SparkSession, folder: str) -> DataFrame:
+def valid_messages_query(spark: SparkSession, folder: str) -> DataFrame:
     return _valid(spark, folder).select("message_id")
 
 
@@ -140,22 +146,8 @@ def rejected_messages_query(spark: SparkSession, folder: str) -> DataFrame:
     return rejected.select("message_id", "reject_reason", missing)
 
 
-def _summaries(spark: SparkSession, folder: str) -> DataFrame:
-    """A flat row per valid message; ``note`` is there only when an item is no track point."""
-    normalized = _normalized(spark, folder)
-    items = F.flatten(F.transform("msg.tracks", lambda track: track["items"]))
-    notes = F.filter(items, lambda item: item["raw"].isNotNull())
-    return normalized.select(
-        "message_id",
-        F.get("msg.senderId", 0).alias("sender"),
-        F.size(items).alias("n_items"),
-        F.get(F.transform(notes, lambda item: item["raw"]), 0).alias("note"),
-    )
-
-
 def message_json(spark: SparkSession, folder: str) -> DataFrame:
-    summaries = _summaries(spark, folder)
-    return parsing.to_documents(summaries, ["message_id"], ["sender", "n_items", "note"])
+    return parsing.json_documents(track_xml(spark, folder), ["message_id"])
 
 
 def concat_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,14 +165,37 @@ def concat_json(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def to_track_xml(spark: SparkSession, folder: str) -> DataFrame:
-    return parsing.to_track_xml(_normalized(spark, folder)).select("message_id", "track_xml")
+    return rewrite.to_track_xml(_valid(spark, folder)).select("message_id", "track_xml")
+
+
+def rewrite_track_xml(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages full of content that no schema names, in normal form."""
+    valid = valid_messages(rich_track_xml(spark, folder))
+    return rewrite.to_track_xml(valid).select("message_id", "track_xml")
+
+
+def track_children(spark: SparkSession, folder: str) -> DataFrame:
+    """Every child that a normalised track keeps, as it stands in the message."""
+    rewritten = rewrite.rewrite(valid_messages(rich_track_xml(spark, folder)))
+    found = rewrite.track_children(rewritten, ["message_id"])
+    places = [F.col(name).cast("bigint").alias(name) for name in ("track_idx", "child_idx")]
+    return found.select("message_id", *places, "name", "type", "xml")
+
+
+def raw_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The inner text of the items that are no track points."""
+    normalized = normalized_messages(rich_track_xml(spark, folder))
+    items = message_items(normalized).where("item.raw IS NOT NULL")
+    return items.select(
+        "message_id", F.col("item.item_no").cast("bigint").alias("item_no"), F.col("item.raw")
+    )
 
 
 def reparse_track_xml(spark: SparkSession, folder: str) -> DataFrame:
     """Track points after writing the normalised messages as XML and reading them again."""
-    written = parsing.to_track_xml(_normalized(spark, folder))
+    written = rewrite.to_track_xml(valid_messages(rich_track_xml(spark, folder)))
     again = written.select("message_id", F.col("track_xml").alias("xml"))
-    points = track_points(normalize(split_valid(parsing.parse_messages(again))[0]))
+    points = track_points(normalize(split_valid(parsing.parse_messages(again))[0], raw=False))
     return points.select("message_id", "item_uuid", "time", "lon", "lat", "elev", "speed")
 
 
@@ -215,14 +230,14 @@ _POINT_COLUMNS = [
 
 
 def track_points_query(spark: SparkSession, folder: str) -> DataFrame:
-    points = track_points(_normalized(spark, folder))
+    points = track_points(normalized_messages(track_xml(spark, folder), raw=False))
     return points.select(
         *_POINT_COLUMNS, F.col("item_idx").cast("bigint").alias("item_idx"), "track_uuid"
     )
 
 
 def st_index_query(spark: SparkSession, folder: str) -> DataFrame:
-    points = st_index(track_points(_normalized(spark, folder)))
+    points = indexed_track_points(track_xml(spark, folder))
     return points.select("item_uuid", F.col("time_bin").cast("bigint").alias("time_bin"), "st_key")
 
 
@@ -261,25 +276,40 @@ def message_sink(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fan_out_query(spark: SparkSession, folder: str) -> DataFrame:
-    """Normalised messages to the document sink and the feature sink at once."""
+    """The same documents to the document sink and to the feature sink."""
     path = shared_folder(spark, "fan-out")
     fan_out(
-        _normalized(spark, folder),
+        track_xml(spark, folder),
         [
             lambda df: write_documents(
-                parsing.to_documents(df, ["message_id"], ["msg"]), f"{path}/documents"
+                parsing.json_documents(df, ["message_id"]), f"{path}/documents"
             ),
-            lambda df: write_features(st_index(track_points(df)), f"{path}/features", stage=False),
+            lambda df: write_features(indexed_track_points(df), f"{path}/features"),
         ],
     )
-    documents_read = spark.read.schema("doc_id string, body string").json(f"{path}/documents")
-    points = spark.read.parquet(f"{path}/features").select(F.col("item_uuid").alias("id"))
-    return (
-        documents_read.select(F.lit("document").alias("sink"), F.col("doc_id").alias("id"))
-        .unionByName(points.withColumn("sink", F.lit("feature")))
+    stored = spark.read.schema("doc_id string, body string").json(f"{path}/documents")
+    points = spark.read.parquet(f"{path}/features")
+    return stored.select(F.lit("document").alias("sink"), F.col("doc_id").alias("id"), "body").union(
+        points.select(F.lit("feature"), "item_uuid", F.col("st_key").cast("string"))
     )
 
 
+def tagged_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, rejects and points, written in one pass and read kind by kind."""
+    path = shared_folder(spark, "outputs")
+    outputs.write_outputs(track_xml(spark, folder), path, ["message_id"])
+
+    def read(kind: str, name: Column, value: Column) -> DataFrame:
+        rows = outputs.read_output(spark, path, kind)
+        return rows.select(F.lit(kind).alias("kind"), "message_id", name, value)
+
+    none = F.lit(None).cast("string")
+    document = read(outputs.DOCUMENT, F.col("doc_id").alias("name"), F.col("json").alias("value"))
+    rejected = read(outputs.REJECTED, none.alias("name"), F.col("reject_reason"))
+    key = F.concat_ws(":", "time_bin", "st_key", "track_idx", "item_idx", "track_uuid", "comment")
+    return document.union(rejected).union(read(outputs.POINT, F.col("item_uuid"), key))
+
+
 def sink_report(spark: SparkSession, folder: str) -> DataFrame:
     """Accepted and rejected messages, counted while they are written."""
     path = shared_folder(spark, "report")
@@ -302,11 +332,14 @@ QUERIES = {
     "project_points": project_points,
     "project_detail": project_detail,
     "geodetic_position": geodetic_position_query,
-    "valid_messages": valid_messages,
+    "valid_messages": valid_messages_query,
     "rejected_messages": rejected_messages_query,
     "message_json": message_json,
     "concat_json": concat_json,
     "to_track_xml": to_track_xml,
+    "rewrite_track_xml": rewrite_track_xml,
+    "track_children": track_children,
+    "raw_items": raw_items,
     "reparse_track_xml": reparse_track_xml,
     "infer_schema": infer_schema,
     "track_points": track_points_query,
@@ -316,5 +349,6 @@ QUERIES = {
     "document_sink": document_sink,
     "message_sink": message_sink,
     "fan_out": fan_out_query,
+    "tagged_outputs": tagged_outputs,
     "sink_report": sink_report,
 }

@@ -48,8 +48,6 @@ TRACK_SCHEMA = (
     ",".join(f"{name} array<string>" for name in HEADER_FIELDS)
     + f",tracks array<struct<trackUUID:string,items:array<{_ITEM}>>>,{CORRUPT} string"
 )
-RAW_ITEMS_SCHEMA = "tracks array<struct<items:array<string>>>"
-RAW_TRACKS_SCHEMA = "tracks array<string>"
 
 XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
@@ -59,29 +57,3 @@ def repair_tokens(xml: Column, repairs: dict[str, str] | None = None) -> Column:
     for broken, valid in (TOKEN_REPAIRS if repairs is None else repairs).items():
         xml = F.replace(xml, F.lit(broken), F.lit(valid))
     return xml
-
-
-def markup(text: Column) -> Column:
-    """Turn parsed element content back into XML.
-
-    The parser hands out nested elements as text with their tags, and plain text with its
-    entities resolved.  Content that holds a closing tag is kept as markup.
-    """
-    ampersands = F.replace(text, F.lit("&"), F.lit("&amp;"))
-    is_markup = F.contains(text, F.lit("</")) | F.contains(text, F.lit("/>"))
-    plain = F.replace(F.replace(ampersands, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    return F.when(is_markup, ampersands).otherwise(plain)
-
-
-def wrap(name: str, content: Column, type_attribute: Column | None = None) -> Column:
-    """``<name type="...">content</name>``; NULL content leaves the element out."""
-    opening = F.lit(f"<{name}>")
-    if type_attribute is not None:
-        typed = F.concat(F.lit(f'<{name} type="'), markup(type_attribute), F.lit('">'))
-        opening = F.coalesce(typed, opening)
-    return F.coalesce(F.concat(opening, content, F.lit(f"</{name}>")), F.lit(""))
-
-
-def element(name: str, text: Column) -> Column:
-    """One leaf element."""
-    return wrap(name, markup(text))

@@ -16,7 +16,7 @@ from trackflow.functions.xml import (
     VIDEO_INFORMATION,
 )
 from trackflow.operators.hold import hold
-from trackflow.operators.parsing import raw_items
+from trackflow.operators.rewrite import raw_items
 
 
 def project_header(messages: DataFrame) -> DataFrame:
@@ -128,18 +128,22 @@ def split_valid(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, checked.where("reject_reason IS NOT NULL")
 
 
-def route_items(messages: DataFrame) -> DataFrame:
+def route_items(messages: DataFrame, raw: bool = True) -> DataFrame:
     """Drop video information; project track points; keep any other item unchanged.
 
-    Items and their raw text come from two parses of one document, so they pair up by position.
-    The second parse runs only for messages that have such other items.
+    The raw text of an item that is no track point comes from the text of its message, cut into
+    elements, and pairs up with the parsed item by position.  Only messages that have such items
+    are cut; ``raw=False``, for those who need track points only, cuts none.
     """
     other_items = F.exists(
         "msg.tracks",
         lambda track: F.exists(track["items"], lambda item: is_kept(item) & ~is_point(item)),
     )
-    parsed = messages.withColumn("parsed", F.when(other_items, raw_items(F.col("xml"))))
-    held = hold(parsed, "parsed", "raw_items")
+    if raw:
+        held = raw_items(messages.withColumn("wanted", F.when(other_items, F.col("xml"))))
+    else:
+        none = F.lit(None).cast("array<struct<items: array<string>>>")
+        held = messages.withColumn("raw_items", none)
 
     def route(track: Column, index: Column) -> Column:
         raw = F.get("raw_items", index)["items"]
@@ -163,6 +167,6 @@ def route_items(messages: DataFrame) -> DataFrame:
     return held.withColumn("msg", F.col("msg").withField("tracks", tracks)).drop("raw_items")
 
 
-def normalize(valid_messages: DataFrame) -> DataFrame:
+def normalize(valid_messages: DataFrame, raw: bool = True) -> DataFrame:
     """Header whitelist and item routing on valid messages."""
-    return route_items(project_header(valid_messages))
+    return route_items(project_header(valid_messages), raw)

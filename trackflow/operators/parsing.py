@@ -8,25 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackflow.functions.xml import (
-    CORRUPT,
-    DETAIL_FIELDS,
-    HEADER_FIELDS,
-    POINT_FIELDS,
-    POSITION_FIELDS,
-    RAW_ITEMS_SCHEMA,
-    RAW_TRACKS_SCHEMA,
-    TRACK_SCHEMA,
-    XML_OPTIONS,
-    element,
-    markup,
-    wrap,
-)
+from trackflow.functions.xml import CORRUPT, TRACK_SCHEMA, XML_OPTIONS
 from trackflow.operators.hold import hold
 
-# One element of a track, with its content or closed in itself.
-_ITEMS_OPENING = "<items(\\s[^>]*)?>"
-_ITEMS_ELEMENT = "(?s)<items(\\s[^>]*)?/>|<items(\\s[^>]*)?>.*?</items>"
+# Text in which an element may be named without being there.
+_NO_ELEMENT = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
+# A field without value, with the comma that parts it from its neighbour.  Quotes inside a JSON
+# text are escaped, so this cannot lie within one.
+_NULL_FIRST = r'"[^"\\]*":null,'
+_NULL_LAST = r',?"[^"\\]*":null'
+
+
+def n_messages(xml: Column) -> Column:
+    """How many message elements a text opens, those in comments and CDATA left out."""
+    marked = F.contains(xml, F.lit("<!"))
+    elements = F.when(marked, F.regexp_replace(xml, _NO_ELEMENT, "")).otherwise(xml)
+    return F.regexp_count(elements, F.lit("<TrackMessage[\\s/>]"))
 
 
 def parse_messages(documents: DataFrame, schema: str | T.StructType = TRACK_SCHEMA) -> DataFrame:
@@ -37,7 +34,7 @@ def parse_messages(documents: DataFrame, schema: str | T.StructType = TRACK_SCHE
     parsed = documents.withColumns(
         {
             "parsed": F.from_xml("xml", schema, XML_OPTIONS),
-            "n_roots": F.regexp_count("xml", F.lit("<TrackMessage[\\s/>]")),
+            "n_roots": n_messages(F.col("xml")),
         }
     )
     held = hold(parsed, "parsed", "msg")
@@ -49,16 +46,6 @@ def parse_messages(documents: DataFrame, schema: str | T.StructType = TRACK_SCHE
     return held.withColumn("parse_error", error).drop("n_roots")
 
 
-def raw_items(xml: Column) -> Column:
-    """Inner XML of every item, per track: content outside the schema is not lost."""
-    return F.from_xml(xml, RAW_ITEMS_SCHEMA, XML_OPTIONS)["tracks"]
-
-
-def raw_tracks(xml: Column) -> Column:
-    """Inner XML of every track."""
-    return F.from_xml(xml, RAW_TRACKS_SCHEMA, XML_OPTIONS)["tracks"]
-
-
 def parsed_only(messages: DataFrame) -> DataFrame:
     return messages.where("parse_error IS NULL")
 
@@ -96,6 +83,31 @@ def to_documents(
     )
 
 
+def whole_json(xml: Column) -> Column:
+    """All of a well-formed document as JSON, whatever elements it has.
+
+    Each value gets its own type, so no schema is needed and none is shared between documents:
+    numbers and truth values lose their quotes, an element that comes once is an object and one
+    that comes again an array, attributes are fields that begin with ``_``, text beside elements
+    is ``_VALUE``.  Fields are sorted by name; empty elements are left out.
+    """
+    text = F.to_json(F.from_xml(xml, "variant", XML_OPTIONS))
+    without = F.regexp_replace(F.regexp_replace(text, _NULL_FIRST, ""), _NULL_LAST, "")
+    return F.when(F.contains(text, F.lit(":null")), without).otherwise(text)
+
+
+def json_documents(documents: DataFrame, id_columns: list[str]) -> DataFrame:
+    """``doc_id, json``: every document that is one well-formed message, whole.
+
+    This needs no valid track points: what normalisation rejects is still a document.
+    """
+    parsed = parse_messages(documents, f"{CORRUPT} string")
+    position = F.concat_ws(":", *[F.col(name).cast("string") for name in id_columns])
+    return parsed_only(parsed).select(
+        F.md5(position).alias("doc_id"), whole_json(F.col("xml")).alias("json")
+    )
+
+
 def concat_json(
     df: DataFrame, keys: list[str], order: str, json_column: str = "json"
 ) -> DataFrame:
@@ -106,76 +118,3 @@ def concat_json(
     return glued.select(
         *keys, F.size("pieces").alias("n_rows"), F.array_join(texts, "").alias("json")
     )
-
-
-def _position_xml(position: Column) -> list[Column]:
-    return [element(name, position[name]) for name in POSITION_FIELDS]
-
-
-def _detail_position_xml(position: Column) -> Column:
-    origin = position["localSystem"]["origin"]
-    content = F.concat(
-        *_position_xml(position),
-        *[element(name, position[name]) for name in ("x", "y", "z")],
-        F.when(origin.isNull(), F.lit("")).otherwise(
-            wrap("localSystem", wrap("origin", F.concat(*_position_xml(origin))))
-        ),
-    )
-    present = F.when(position.isNotNull(), content)
-    return wrap("pointDetailPosition", present, position["_type"])
-
-
-def _point_xml(item: Column) -> Column:
-    leaves = []
-    for name in POINT_FIELDS:
-        if name == "trackPointPosition":
-            position = item[name]
-            present = F.when(position.isNotNull(), F.concat(*_position_xml(position)))
-            leaves.append(wrap(name, present))
-        else:
-            leaves.append(element(name, item[name]))
-    detail = item["TrackPointDetail"]
-    detail_xml = F.concat(
-        *[element(name, detail[name]) for name in DETAIL_FIELDS[:2]],
-        _detail_position_xml(detail["pointDetailPosition"]),
-    )
-    return F.concat(
-        *leaves, wrap("TrackPointDetail", F.when(detail.isNotNull(), detail_xml))
-    )
-
-
-def to_track_xml(normalized: DataFrame) -> DataFrame:
-    """Write each normalised message as one XML text in ``track_xml``.
-
-    Track points are written from their fields.  Other items and other children of a track are
-    copied from the parsed text, tags and attributes included; a track's other children come
-    before its items.  Should text look like an item tag, an item keeps its type attribute only.
-    """
-    parsed = normalized.withColumn("parsed", raw_tracks(F.col("xml")))
-    held = hold(parsed, "parsed", "raw_tracks")
-    msg = F.col("msg")
-
-    def header_xml(name: str) -> Column:
-        values = F.coalesce(msg[name], F.array())
-        return F.array_join(F.transform(values, lambda value: element(name, value)), "")
-
-    def track_xml(track: Column, index: Column) -> Column:
-        text = F.get("raw_tracks", index)
-        others = F.regexp_replace(text, _ITEMS_ELEMENT, "")
-        others = F.replace(others, F.lit("&"), F.lit("&amp;"))
-        openings = F.regexp_extract_all(text, F.lit(_ITEMS_OPENING), F.lit(0))
-        paired = F.size(openings) == track["n_items"]
-
-        def item_xml(item: Column) -> Column:
-            opening = F.replace(F.get(openings, item["item_no"]), F.lit("&"), F.lit("&amp;"))
-            copied = F.concat(opening, markup(item["raw"]), F.lit("</items>"))
-            typed = wrap("items", F.coalesce(markup(item["raw"]), _point_xml(item)), item["_type"])
-            return F.when(paired & item["raw"].isNotNull(), copied).otherwise(typed)
-
-        items = F.array_join(F.transform(track["items"], item_xml), "")
-        return wrap("tracks", F.concat(F.coalesce(others, F.lit("")), F.coalesce(items, F.lit(""))))
-
-    tracks = F.array_join(F.transform(F.coalesce(msg["tracks"], F.array()), track_xml), "")
-    headers = [header_xml(name) for name in HEADER_FIELDS]
-    document = wrap("TrackMessage", F.concat(*headers, tracks))
-    return held.withColumn("track_xml", document).drop("raw_tracks")

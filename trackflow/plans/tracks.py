@@ -11,10 +11,16 @@ from trackflow.operators.normalize import normalize, split_valid
 from trackflow.operators.parsing import parse_messages
 
 
-def normalized_messages(documents: DataFrame, schema: str = TRACK_SCHEMA) -> DataFrame:
+def valid_messages(documents: DataFrame, schema: str = TRACK_SCHEMA) -> DataFrame:
+    """Repair, parse, keep the valid messages."""
+    return split_valid(parse_messages(repair_documents(documents), schema))[0]
+
+
+def normalized_messages(
+    documents: DataFrame, schema: str = TRACK_SCHEMA, raw: bool = True
+) -> DataFrame:
     """Repair, parse, keep the valid messages, normalise."""
-    valid, _ = split_valid(parse_messages(repair_documents(documents), schema))
-    return normalize(valid)
+    return normalize(valid_messages(documents, schema), raw)
 
 
 def rejected_messages(documents: DataFrame, schema: str = TRACK_SCHEMA) -> DataFrame:
@@ -25,4 +31,4 @@ def rejected_messages(documents: DataFrame, schema: str = TRACK_SCHEMA) -> DataF
 
 def indexed_track_points(documents: DataFrame, schema: str = TRACK_SCHEMA) -> DataFrame:
     """Track points of the valid messages with their space-time key."""
-    return st_index(track_points(normalized_messages(documents, schema)))
+    return st_index(track_points(normalized_messages(documents, schema, raw=False)))

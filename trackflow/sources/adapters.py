@@ -199,3 +199,28 @@ def track_xml(spark: SparkSession, folder: str) -> DataFrame:
 def track_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The same track messages, line by line as raw messages; the channel is the message."""
     return lines_as_messages(track_lines(spark, folder), "message_id", F.col("lines"))
+
+
+#: What ``rich_track_xml`` puts in place of what.
+RICH = {
+    "<tracks>": '<tracks n="1"><!-- <items type="x"> --><trackStatus level="a&amp;b">open &lt;1&gt;'
+    "</trackStatus>",
+    "</longitude>": "</longitude><datum name='\"84\"'>\u00e9 &amp; <b/></datum>",
+    "<trackItemComment></trackItemComment>": '<trackItemComment lang="x"><![CDATA[<a> & ]]>&amp; b'
+    "</trackItemComment>",
+    "<note>": '<note k="1 > 0"><![CDATA[</items>]]>',
+    "</note>": '</note><items type="TrackPoint"><items>q</items></items>',
+    "<senderId>": '<senderId role="s&lt;">',
+    "</tracks>": '<last a="1"/></tracks>',
+}
+
+
+def rich_track_xml(spark: SparkSession, folder: str) -> DataFrame:
+    """``track_xml`` with elements and attributes that no schema names, entities, comments, CDATA
+    and items inside items."""
+    xml = F.col("xml")
+    for plain, rich in RICH.items():
+        xml = F.replace(xml, F.lit(plain), F.lit(rich))
+    return track_xml(spark, folder).withColumn("built", xml).drop("xml").transform(
+        lambda df: hold(df, "built", "xml")
+    )
