@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackflow.functions.nodes import bind
 from trackflow.functions.xml import CORRUPT, TRACK_SCHEMA, XML_OPTIONS
 from trackflow.operators.hold import hold
 
@@ -91,9 +92,12 @@ def whole_json(xml: Column) -> Column:
     that comes again an array, attributes are fields that begin with ``_``, text beside elements
     is ``_VALUE``.  Fields are sorted by name; empty elements are left out.
     """
-    text = F.to_json(F.from_xml(xml, "variant", XML_OPTIONS))
-    without = F.regexp_replace(F.regexp_replace(text, _NULL_FIRST, ""), _NULL_LAST, "")
-    return F.when(F.contains(text, F.lit(":null")), without).otherwise(text)
+
+    def without_nulls(text: Column) -> Column:
+        without = F.regexp_replace(F.regexp_replace(text, _NULL_FIRST, ""), _NULL_LAST, "")
+        return F.when(F.contains(text, F.lit(":null")), without).otherwise(text)
+
+    return bind(F.to_json(F.from_xml(xml, "variant", XML_OPTIONS)), without_nulls)
 
 
 def json_documents(documents: DataFrame, id_columns: list[str]) -> DataFrame:
