@@ -3,9 +3,16 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from test_framing import SCHEMA, model, random_rows
-from trackflow.operators.assembly import assemble, document_stats, oversize_lines, repair_documents
+from trackflow.operators.assembly import (
+    assemble,
+    document_parts,
+    document_stats,
+    oversize_lines,
+    repair_documents,
+)
 from trackflow.operators.framing import assign_sessions
 
 
@@ -87,6 +94,45 @@ def test_frames_without_blocks_are_accepted(spark):
     assert plain.count() == len(expected_documents(rows))
 
 
+def test_parts_join_to_the_documents(spark):
+    rows = random_rows(seed=21)
+    lines = assign_sessions(spark.createDataFrame(rows, SCHEMA), block_size=5)
+    parts = defaultdict(list)
+    for row in document_parts(lines, "|", block_size=5).collect():
+        assert row.part >= 0 and row.n_lines <= 5
+        parts[row.channel, row.start_offset].append((row.part, row.text))
+    joined = {key: "|".join(text for _, text in sorted(found)) for key, found in parts.items()}
+    expected = {key: "|".join(texts) for key, texts in expected_documents(rows).items() if texts}
+    assert joined == expected
+
+
+def test_a_session_of_a_million_blank_lines(spark):
+    lines = spark.range(1_000_002).select(
+        F.lit(1).cast("long").alias("channel"),
+        F.col("id").alias("offset"),
+        F.when(F.col("id") == 0, "START").when(F.col("id") == 1_000_001, "END").alias("marker"),
+        F.lit(" ").alias("line"),
+    )
+    document = assemble(assign_sessions(lines), separator="\n").first()
+    assert document.n_lines == 1_000_000 and document.xml == "\n" * 999_999
+
+
+def test_a_document_of_a_hundred_megabytes(spark):
+    lines = spark.range(100_002).select(
+        F.lit(1).cast("long").alias("channel"),
+        F.col("id").alias("offset"),
+        F.when(F.col("id") == 0, "START").when(F.col("id") == 100_001, "END").alias("marker"),
+        F.concat(F.lit("<"), F.lpad(F.col("id").cast("string"), 999, "x")).alias("line"),
+    )
+    framed = assign_sessions(lines, block_size=4_096)
+    document = assemble(framed, block_size=4_096).select(
+        "n_lines", F.length("xml"), F.substring("xml", 1, 1000), F.substring("xml", -5, 5)
+    )
+    assert tuple(document.first()) == (100_000, 10**8, "<" + "1".rjust(999, "x"), "00000")
+    parts = document_parts(framed, block_size=4_096)
+    assert parts.count() == 25 and parts.agg(F.sum(F.length("text"))).first()[0] == 10**8
+
+
 def test_token_repair_keeps_the_length(spark):
     documents = assemble(_lines(spark, ["<a>AUTOMATIC ESTIMATED</a>", "<b>AUTOMATIC ESTIMATED</b>"]))
     assert repair_documents(documents).first().xml == (

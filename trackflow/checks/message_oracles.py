@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trackflow.checks.message_queries import SMALL_LIMIT
+from trackflow.checks.message_queries import SMALL_BLOCK, SMALL_LIMIT
 from trackflow.functions.text import PROLOG
 
 _PAYLOAD = f"""
@@ -164,6 +164,12 @@ SELECT f.channel, f.session_id, f.start_offset, f."offset", f.clean AS text
 FROM framed f JOIN documents_all d ON f.channel = d.channel AND f.session_id = d.session_id
 WHERE d.start_offset IS NOT NULL AND d.n_bytes > {SMALL_LIMIT}
   AND f.marker IS NULL AND NOT f.closed""",
+    "document_parts": f"""{_FRAMES}
+SELECT channel, session_id, start_offset,
+  "offset" // {SMALL_BLOCK} - coalesce(start_offset // {SMALL_BLOCK}, 0) AS part,
+  count(*) AS n_lines, string_agg(clean, chr(10) ORDER BY "offset") AS text
+FROM framed WHERE marker IS NULL AND NOT closed AND end_offset IS NOT NULL
+GROUP BY channel, session_id, start_offset, "offset" // {SMALL_BLOCK}""",
     "document_stats": f"""{_FRAMES}
 SELECT {_DOCUMENT_COLUMNS}, CAST(length(xml) AS INTEGER) AS n_chars_in,
   CAST(length(xml) AS INTEGER) AS n_chars_out

@@ -11,6 +11,7 @@ from trackflow.operators import framing
 from trackflow.operators.assembly import (
     assemble,
     count_lines,
+    document_parts,
     document_stats,
     oversize_lines,
 )
@@ -145,6 +146,11 @@ def oversize_lines_query(spark: SparkSession, folder: str) -> DataFrame:
     return oversize_lines(lines, max_document_bytes=SMALL_LIMIT, block_size=SMALL_BLOCK)
 
 
+def document_parts_query(spark: SparkSession, folder: str) -> DataFrame:
+    lines = session_lines(raw_messages(spark, folder), SMALL_BLOCK)
+    return document_parts(lines, separator="\n", include_orphans=True, block_size=SMALL_BLOCK)
+
+
 def document_stats_query(spark: SparkSession, folder: str) -> DataFrame:
     return document_stats(documents(raw_messages(spark, folder)))
 
@@ -232,6 +238,7 @@ QUERIES = {
     "assemble_orphans": assemble_orphans,
     "assemble_limited": assemble_limited,
     "oversize_lines": oversize_lines_query,
+    "document_parts": document_parts_query,
     "document_stats": document_stats_query,
     "reassemble_text": reassemble_text,
     "frame_stream": frame_stream_query,

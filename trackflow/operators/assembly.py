@@ -1,10 +1,14 @@
-"""Reassembly of sessions into documents.
+"""Reassembly of sessions into documents, in two steps.
 
-A document must fit one row.  Sessions whose content lines, as they came, sum up to more than
-``max_document_bytes`` are never collected: their lines come out of ``oversize_lines`` instead,
-whole and one by one.  Their sizes come from a narrow pass over the lines, without the text, and
-are joined back by (channel, block), the partitioning the framed lines already have.  So a huge
-session stays spread over many tasks and the lines are shuffled only once more, by session.
+The lines of a session that lie in one block are joined to a piece where the framing has put
+them, by (channel, block): no shuffle.  Then the pieces of a session, one a block, are joined to
+the document.  So a long session is put together from few large pieces, by many tasks, and lines
+are shuffled only once more, as pieces.  Which sessions have an END is known from a narrow pass
+without text; pieces of all others go nowhere.
+
+A document in one row is bounded by what a row can hold (2 GB).  ``document_parts`` gives the
+pieces themselves, for sessions of any size.  ``max_document_bytes`` is for those who want large
+sessions kept out of ``assemble``; their lines then come out of ``oversize_lines``.
 """
 
 from __future__ import annotations
@@ -16,9 +20,6 @@ from trackflow.functions.text import clean_line, session_id_of
 from trackflow.functions.xml import repair_tokens
 from trackflow.operators.framing import BLOCK_OFFSETS, with_blocks, with_line_bytes
 
-# Fixed value: the largest message the transport lets through.
-MAX_DOCUMENT_BYTES = 30_000_000
-
 _NO_START = -1
 
 
@@ -71,7 +72,7 @@ def flag_oversize(
     lines: DataFrame,
     separator: str = "",
     clean: str = "regex",
-    max_document_bytes: int | None = MAX_DOCUMENT_BYTES,
+    max_document_bytes: int | None = None,
     include_orphans: bool = False,
     block_size: int = BLOCK_OFFSETS,
 ) -> DataFrame:
@@ -116,7 +117,7 @@ def assemble(
     lines: DataFrame,
     separator: str = "",
     clean: str = "regex",
-    max_document_bytes: int | None = MAX_DOCUMENT_BYTES,
+    max_document_bytes: int | None = None,
     include_orphans: bool = False,
     block_size: int = BLOCK_OFFSETS,
 ) -> DataFrame:
@@ -124,7 +125,8 @@ def assemble(
 
     Content is what lies between START and the first END.  ``include_orphans`` also emits the
     lines before a channel's first START, under the id ``'null'``, once an END has come.
-    ``max_document_bytes=None`` saves the size pass; it is for input known to be small.
+    Sessions of any size are assembled; ``max_document_bytes`` leaves out those above it, at the
+    price of a pass over the sizes.
     """
     flagged = flag_oversize(
         lines, separator, clean, max_document_bytes, include_orphans, block_size
@@ -132,35 +134,88 @@ def assemble(
     return collect_documents(flagged.where("NOT is_oversize"), separator)
 
 
-def collect_documents(flagged: DataFrame, separator: str = "") -> DataFrame:
-    """Collect the texts of each session that has its END; every session must fit one row."""
-    is_text = F.col("marker").isNull()
-    is_end = F.col("marker").eqNullSafe("END")
+def session_pieces(flagged: DataFrame, separator: str = "") -> DataFrame:
+    """Per session and block the joined texts of its lines, for sessions that have their END."""
+    is_text, is_end = F.col("marker").isNull(), F.col("marker").eqNullSafe("END")
     collected = (
         flagged.where(is_text | is_end)
-        .groupBy("channel", "session_start")
+        .groupBy("channel", "block", "session_start")
         .agg(
-            F.collect_list(F.when(is_text, F.struct("offset", "text"))).alias("pieces"),
+            F.array_sort(F.collect_list(F.when(is_text, F.struct("offset", "text")))).alias("lines"),
             F.max(F.when(is_end, F.col("offset"))).alias("end_offset"),
         )
-        .where("end_offset IS NOT NULL")
     )
-    texts = F.transform(F.array_sort("pieces"), lambda piece: piece["text"])
-    return collected.select(
+    texts = F.transform("lines", lambda line: line["text"])
+    pieces = collected.select(
+        "channel",
+        "session_start",
+        "block",
+        "end_offset",
+        F.size("lines").cast("bigint").alias("n_lines"),
+        F.array_join(texts, separator).alias("text"),
+    )
+    # Left to Spark's size check, like every join here.
+    ended = flagged.where(is_end).select("channel", "session_start")
+    return pieces.join(ended, ["channel", "session_start"], "left_semi")
+
+
+def collect_documents(flagged: DataFrame, separator: str = "") -> DataFrame:
+    """One row per session that has its END: its pieces joined in order."""
+    has_text = F.col("n_lines") > 0
+    joined = (
+        session_pieces(flagged, separator)
+        .groupBy("channel", "session_start")
+        .agg(
+            F.array_sort(F.collect_list(F.when(has_text, F.struct("block", "text")))).alias("pieces"),
+            F.max("end_offset").alias("end_offset"),
+            F.sum("n_lines").alias("n_lines"),
+        )
+    )
+    texts = F.transform("pieces", lambda piece: piece["text"])
+    return joined.select(
         "channel",
         session_id_of(F.col("channel"), _session_start()).alias("session_id"),
         _session_start().alias("start_offset"),
         "end_offset",
-        F.size("pieces").cast("bigint").alias("n_lines"),
+        "n_lines",
         F.array_join(texts, separator).alias("xml"),
     )
 
 
+def document_parts(
+    lines: DataFrame,
+    separator: str = "",
+    clean: str = "regex",
+    include_orphans: bool = False,
+    block_size: int = BLOCK_OFFSETS,
+) -> DataFrame:
+    """The documents in parts, one per block of offsets, for sessions that no row can hold.
+
+    Joined in the order of ``part`` with the separator they give the document.  The parts of a
+    session need not follow each other without a gap: a block without content has none.
+    """
+    flagged = flag_oversize(lines, separator, clean, None, include_orphans, block_size)
+    first = F.coalesce(F.expr(f"start_offset div {int(block_size)}"), F.lit(0))
+    return (
+        session_pieces(flagged, separator)
+        .where("n_lines > 0")
+        .withColumn("start_offset", _session_start())
+        .select(
+            "channel",
+            session_id_of(F.col("channel"), F.col("start_offset")).alias("session_id"),
+            "start_offset",
+            (F.col("block") - first).alias("part"),
+            "n_lines",
+            "text",
+        )
+    )
+
+
 def oversize_lines(
     lines: DataFrame,
     separator: str = "",
     clean: str = "regex",
-    max_document_bytes: int = MAX_DOCUMENT_BYTES,
+    max_document_bytes: int | None = None,
     include_orphans: bool = False,
     block_size: int = BLOCK_OFFSETS,
 ) -> DataFrame:

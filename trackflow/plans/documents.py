@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from trackflow.operators.assembly import MAX_DOCUMENT_BYTES, assemble
+from trackflow.operators.assembly import assemble
 from trackflow.operators.framing import BLOCK_OFFSETS, assign_sessions, with_line_bytes
 from trackflow.operators.messages import accepted_lines, decode_value, drop_prolog, mark_lines
 from trackflow.session import shared_folder
@@ -39,7 +39,7 @@ def documents(
     messages: DataFrame,
     separator: str = "",
     clean: str = "regex",
-    max_document_bytes: int | None = MAX_DOCUMENT_BYTES,
+    max_document_bytes: int | None = None,
     include_orphans: bool = False,
     block_size: int = BLOCK_OFFSETS,
     stage: bool = False,

@@ -19,12 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trackflow.operators.assembly import (
-    MAX_DOCUMENT_BYTES,
-    collect_documents,
-    flag_oversize,
-    oversize_texts,
-)
+from trackflow.operators.assembly import collect_documents, flag_oversize, oversize_texts
 from trackflow.operators.framing import BLOCK_OFFSETS, assign_sessions_blocked, session_status
 from trackflow.operators.messages import decode_value, drop_prolog, mark_lines, strip_envelope
 from trackflow.session import path_exists, remove_path
@@ -60,7 +55,7 @@ class StreamFrames:
         path: str,
         separator: str = "",
         clean: str = "regex",
-        max_document_bytes: int = MAX_DOCUMENT_BYTES,
+        max_document_bytes: int | None = None,
         block_size: int = BLOCK_OFFSETS,
     ):
         self.spark = spark

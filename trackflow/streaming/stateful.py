@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from trackflow.functions.text import clean_line, session_id_of
-from trackflow.operators.assembly import MAX_DOCUMENT_BYTES
 from trackflow.operators.framing import with_line_bytes
 
 OUTPUT = (
@@ -35,7 +34,7 @@ class FrameProcessor(StatefulProcessor):
     so that its lines do not pile up in the state; its last part is a fragment too.
     """
 
-    def __init__(self, separator: str, max_document_bytes: int):
+    def __init__(self, separator: str, max_document_bytes: int | None):
         self.separator = separator
         self.separator_bytes = len(separator.encode())
         self.max_document_bytes = max_document_bytes
@@ -79,7 +78,7 @@ class FrameProcessor(StatefulProcessor):
             content = run[run["marker"].isna()]
             pending.extend(content["text"])
             n_bytes += int(content["line_bytes"].sum()) + self.separator_bytes * len(content)
-            if n_bytes > self.max_document_bytes:
+            if self.max_document_bytes is not None and n_bytes > self.max_document_bytes:
                 emit("fragment", None)
                 n_bytes, part = 0, part + 1
         if pending:
@@ -99,7 +98,7 @@ def frame_stateful(
     marked: DataFrame,
     separator: str = "",
     clean: str = "regex",
-    max_document_bytes: int = MAX_DOCUMENT_BYTES,
+    max_document_bytes: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame of documents from a stream of marked lines.
 
