@@ -17,7 +17,7 @@ import re
 import struct
 import unicodedata
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -27,8 +27,8 @@ from tokenizers import Tokenizer
 
 from trackflow.llm.shared import per_text
 
-CACHED_WORDS = 150_000
-CACHED_PAIRS = 500_000
+CACHED_WORDS = 120_000
+CACHED_PAIRS = 250_000
 DECODE_CHUNK = 1 << 16
 
 # Fixed values of the vocabulary format: white space, contractions, mark of a word's end.
@@ -87,7 +87,7 @@ class Encoder:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names.update({i: name for name, i in self.added.items()})
         self.special = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
-        self.library = Tokenizer.from_str(definition)
+        self.definition = definition
         self.safe: set[str] = set()
         self.symbols = byte_symbols()
         self.bytes_of = {s: byte for byte, s in enumerate(self.symbols)}
@@ -105,10 +105,9 @@ class Encoder:
                 known.add(a + b)
                 whole = vocab[a + b]
                 self.rank[whole], (self.left[whole], self.right[whole]) = rank, ids
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}  # by both ids in one number
         self._build([vocab[s] for s in known])
         self.words = _Words(lambda word: _packed(self.encode_word(word)))
-        self.chunks = _Words(self.encode_chunk)
         self._offsets()
 
     def _key(self, name: str) -> str:
@@ -126,10 +125,10 @@ class Encoder:
             whole[i] = base or (whole[a] and whole[b] and self._walk(a, b, False))
         keys = {self._key(self.names[i]): i for i in ids if whole[i]}
         self.whole = keys
-        self.length = {i: len(key) for key, i in keys.items()}
-        self.shorter: dict[int, int] = {}
+        self.length, self.shorter = [0] * len(self.rank), [-1] * len(self.rank)
         self.automaton = ahocorasick.Automaton()
         for key, i in keys.items():
+            self.length[i] = len(key)
             self.automaton.add_word(key, (len(key), i))
             for end in range(len(key) - 1, 0, -1):
                 if (prefix := keys.get(key[:end])) is not None:
@@ -159,11 +158,11 @@ class Encoder:
                 return True
 
     def compatible(self, a: int, b: int) -> bool:
-        found = self._compatible.get((a, b))
+        found = self._compatible.get(a << 32 | b)
         if found is None:
             if len(self._compatible) >= CACHED_PAIRS:
                 self._compatible.clear()
-            found = self._compatible[a, b] = self._walk(a, b)
+            found = self._compatible[a << 32 | b] = self._walk(a, b)
         return found
 
     def encode_word(self, word: str) -> list[int]:
@@ -183,26 +182,31 @@ class Encoder:
         at, token, last = 0, longest[0], -1
         while at < count:
             end = at + length[token]
-            if fits[end] and (
-                last < 0
-                or (fit := known.get((last, token)))
-                or (fit is None and self.compatible(last, token))
-            ):
-                found.append(token)
-                at, last = end, token
-                token = longest[at] if at < count else -1
-            elif (less := shorter.get(token)) is not None:
-                token = less
-            else:
+            if fits[end]:
+                fit = last < 0 or known.get(last << 32 | token)
+                if fit is None:
+                    fit = self.compatible(last, token)
+                if fit:
+                    found.append(token)
+                    at, last = end, token
+                    token = longest[at] if at < count else -1
+                    continue
+            token = shorter[token]
+            if token < 0:
                 fits[at] = 0
                 token = found.pop()
                 last = found[-1] if found else -1
                 at -= length[token]
         return found
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The library's own rules; only few texts need them."""
+        return Tokenizer.from_str(self.definition)
+
     def encode_part(self, text: str) -> bytes:
-        """A text without special tokens. No word crosses white space, so what stands between
-        white space is looked up whole before it is cut into words."""
+        """A text without special tokens. No word crosses white space; most of what stands between
+        it is one word, or one with a mark behind it, and needs no pattern to be cut."""
         if not text.isascii() and not self.safe.issuperset(found := set(text)):
             if any(unicodedata.category(c) == "Cn" for c in found):
                 return b"".join(map(self.words.__getitem__, self.split_new(text)))
@@ -210,10 +214,17 @@ class Encoder:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         if any(map(text.__contains__, "\x1c\x1d\x1e\x1f")):  # white space to split() alone
             return b"".join(map(self.words.__getitem__, _WORDS.findall(text)))
-        return b"".join(map(self.chunks.__getitem__, text.split()))
-
-    def encode_chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk)))
+        words = self.words
+        out = []
+        for chunk in text.split():
+            if chunk.isalpha():
+                out.append(words[chunk])
+            elif chunk[-1] in ".," and chunk[:-1].isalpha():
+                out.append(words[chunk[:-1]])
+                out.append(words[chunk[-1]])
+            else:
+                out.extend(map(words.__getitem__, _WORDS.findall(chunk)))
+        return b"".join(out)
 
     def split_new(self, text: str) -> list[str]:
         """Words of a text with characters newer than Python's tables, cut by the library's."""
@@ -236,13 +247,29 @@ class Encoder:
         return np.frombuffer(self.encode_bytes(text), "<u4")
 
     def _offsets(self) -> None:
-        named = [self.names.get(i, "").encode() + b" " for i in range(len(self.rank))]
-        self.blob = np.frombuffer(b"".join(named), np.uint8)
-        self.offset = np.zeros(len(named) + 1, np.int64)
-        np.cumsum([len(x) for x in named], out=self.offset[1:])
+        self.table = _Table([self.names.get(i, "") for i in range(len(self.rank))])
+        self.decimals = _Table([str(i) for i in range(len(self.rank))])
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
-        """Names joined by spaces, copied from the table between each id's two offsets."""
+        """Names joined by spaces."""
+        return self.table.joined(ids)
+
+    def decimal_bytes(self, ids: np.ndarray) -> bytes:
+        """The ids in decimal, joined by spaces."""
+        return self.decimals.joined(ids)
+
+
+class _Table:
+    """Texts one after the other, each with a space behind it, and where each begins."""
+
+    def __init__(self, texts: list[str]):
+        spaced = [text.encode() + b" " for text in texts]
+        self.blob = np.frombuffer(b"".join(spaced), np.uint8)
+        self.offset = np.zeros(len(spaced) + 1, np.int64)
+        np.cumsum([len(x) for x in spaced], out=self.offset[1:])
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        """The texts of the ids, copied from the table between each id's two offsets."""
         out = []
         for at in range(0, len(ids), DECODE_CHUNK):
             part = ids[at : at + DECODE_CHUNK].astype(np.int64)
@@ -269,23 +296,23 @@ def encode_documents(
     docs: DataFrame,
     vocabulary: str,
     schema: str = "ids array<long>, decoded string",
-    derive: Callable[[np.ndarray, Callable[[], bytes]], tuple] | None = None,
+    derive: Callable[[np.ndarray, Encoder], tuple] | None = None,
 ) -> DataFrame:
     """Each document's ids and the text decoded from them, or what ``derive`` makes of both.
 
-    ``vocabulary`` is the content of a vocabulary file. ``derive`` gets the ids and a function
-    that gives the decoded bytes, and returns the columns that ``schema`` names.
+    ``vocabulary`` is the content of a vocabulary file. ``derive`` gets the ids and the
+    encoder, and returns the columns that ``schema`` names.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def plain(ids: np.ndarray, decoded: Callable[[], bytes]) -> tuple:
-        return ids.tolist(), decoded().decode()
+    def plain(ids: np.ndarray, tables: Encoder) -> tuple:
+        return ids.tolist(), tables.decode_bytes(ids).decode()
 
     make = derive or plain
 
     def rows(text: str) -> list[tuple]:
         tables = encoder(shipped.value)
         ids = tables.encode(text)
-        return [make(ids, lambda: tables.decode_bytes(ids))]
+        return [make(ids, tables)]
 
     return per_text(docs, schema, rows)

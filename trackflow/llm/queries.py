@@ -50,9 +50,9 @@ def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    def digests(ids, decoded) -> tuple:
-        plain = " ".join(map(str, ids.tolist())).encode()
-        return len(ids), hashlib.sha256(plain).hexdigest(), hashlib.sha256(decoded()).hexdigest()
+    def digests(ids, tables) -> tuple:
+        plain, decoded = tables.decimal_bytes(ids), tables.decode_bytes(ids)
+        return len(ids), hashlib.sha256(plain).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
     return bpe.encode_documents(
         table(spark, folder, "documents"),
