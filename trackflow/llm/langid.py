@@ -47,10 +47,15 @@ def fold(doc_id: str = "doc_id") -> Column:
 def training_sample(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
     """``lang, passage`` of at most ``size`` labelled rows outside the held-out fold."""
     order = F.xxhash64("doc_id", "lang")
+    labelled = (fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    # A first cut by hash, so that no task sends more than its share of the sample.
+    rows = docs.where(labelled).count()
+    share = min(1.0, (1.25 * size + 100) / max(rows, 1))
+    highest = F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)
     start = F.pmod(F.xxhash64("lang", "doc_id"), F.greatest(F.char_length("text") - PASSAGE, F.lit(1)))
     return (
         docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang")
-        .where((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+        .where(labelled & (order <= highest))
         .select(
             "lang",
             F.col("text").substr(start.cast("int") + 1, F.lit(PASSAGE)).alias("passage"),
