@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackflow.llm.components import connected
-from trackflow.llm.shared import cut_lineage, text_rows
+from trackflow.llm.shared import stored, text_rows
 
 WORDS = 3
 PERCENT = 90
@@ -179,7 +179,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
         lambda found: (len(found), wide_parities(found).tolist()),
     )
     near = joined(joined(pairs, narrow, "a"), narrow, "b")
-    near = cut_lineage(near.where(_fits(percent, places=False)).select("a", "b"))
+    near = stored(near.where(_fits(percent, places=False)).select("a", "b"))
     sets = _sets_of(docs, near, words, "members array<long>", lambda found: (found.tolist(),))
     both = F.size(F.array_intersect("members_a", "members_b"))
     either = F.size("members_a") + F.size("members_b") - both
@@ -211,7 +211,7 @@ def jaccard_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
-    first = cut_lineage(_sets(docs, words, HEAVY_SHARE))
+    first = stored(_sets(docs, words, HEAVY_SHARE))
     rows = first.where("kind = 0").select(F.col("key").alias("doc_id"), "n", "hi", "lo")
     total = rows.count()
     heavy = (
@@ -228,8 +228,8 @@ def jaccard_components(
         .groupBy("hi", "lo", "n")
         .agg(F.min("doc_id").alias("doc_id"))
     )
-    classes = cut_lineage(classes)
-    prefixed = cut_lineage(
+    classes = stored(classes)
+    prefixed = stored(
         _prefixes(docs, common, words, percent)
         .join(classes.select("doc_id", "n"), "doc_id")
         .dropDuplicates(["doc_id"])
@@ -255,7 +255,7 @@ def _side(df: DataFrame, name: str, *same: str) -> DataFrame:
 
 def _links(docs: DataFrame, prefixed: DataFrame, words: int, percent: int) -> DataFrame:
     key = ["p_hi", "p_lo", "n"]
-    groups = cut_lineage(
+    groups = stored(
         prefixed.groupBy(*key).agg(
             F.min(F.struct("doc_id", "prefix", "bits")).alias("leader"), F.count("*").alias("size")
         )
@@ -263,17 +263,17 @@ def _links(docs: DataFrame, prefixed: DataFrame, words: int, percent: int) -> Da
     several = groups.where("size > 1").select(*key, "leader.doc_id").withColumnsRenamed(
         {"doc_id": "group"}
     )
-    members = cut_lineage(
+    members = stored(
         prefixed.select("doc_id", "bits", *key).join(several, key).select(
             "doc_id", "bits", "group", "n"
         )
     )
     places = _places(groups)
     bits = groups.select(F.col("leader.doc_id").alias("group"), "leader.bits")
-    pairs = cut_lineage(_first_pairs(places.join(bits, "group"), members, percent))
-    links = cut_lineage(_verified(docs, pairs, words, percent))
-    component = cut_lineage(connected(links))
-    rest = cut_lineage(_rest(groups, members, places, component, percent))
+    pairs = stored(_first_pairs(places.join(bits, "group"), members, percent))
+    links = stored(_verified(docs, pairs, words, percent))
+    component = stored(connected(links))
+    rest = stored(_rest(groups, members, places, component, percent))
     if rest.isEmpty():
         return component
     more = _verified(docs, rest, words, percent)
@@ -285,7 +285,7 @@ def _places(groups: DataFrame) -> DataFrame:
     leaders = groups.select("n", F.col("leader.doc_id").alias("group"), "leader.prefix")
     places = leaders.select("group", "n", F.posexplode("prefix").alias("place", "token"))
     shared = places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    return cut_lineage(places.join(shared, "token"))
+    return stored(places.join(shared, "token"))
 
 
 def _first_pairs(places: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -311,11 +311,11 @@ def _first_pairs(places: DataFrame, members: DataFrame, percent: int) -> DataFra
 
 def _sets_of(docs: DataFrame, pairs: DataFrame, words: int, schema: str, make) -> DataFrame:
     """What ``make`` gives for the set of each document that the pairs name."""
-    named = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    named = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     if named.count() <= BROADCAST_ROWS:  # else the texts are shuffled to the ids
         named = F.broadcast(named)
     wanted = text_rows(docs).join(named, "doc_id", "left_semi")
-    return cut_lineage(_per_set(wanted, words, schema, make).dropDuplicates(["doc_id"]))
+    return stored(_per_set(wanted, words, schema, make).dropDuplicates(["doc_id"]))
 
 
 def _rest(
@@ -327,7 +327,7 @@ def _rest(
         "leader.doc_id", "leader.bits", F.col("leader.doc_id").alias("group"), "n"
     )
     known = single.unionByName(members).join(component, "doc_id", "left")
-    known = cut_lineage(known.withColumn("c", F.coalesce("component_id", "doc_id")))
+    known = stored(known.withColumn("c", F.coalesce("component_id", "doc_id")))
     units = known.select("group", "c").distinct()
     parts = places.join(units, "group")
     mixed = parts.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
