@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from trackflow.checks import track_queries
 from trackflow.operators.features import st_index
+from trackflow.operators.ranges import points_within
 from trackflow.operators.sinks import write_features
 from trackflow.plans.documents import documents, marked_lines, session_lines, staged
 from trackflow.plans.outputs import read_output, tagged_outputs, write_outputs
@@ -119,6 +120,20 @@ def test_no_python_in_the_plan(spark, folder, name):
     assert not PYTHON_NODES.search(plan_of(entry_point.queries()[name](spark, folder)))
 
 
+def test_a_box_is_read_by_years_and_key_ranges(spark, folder, tmp_path):
+    path = str(tmp_path / "features")
+    write_features(st_index(track_queries.track_points_query(spark, folder)), path, partitions=4)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = plan_of(points_within(spark.read.parquet(path), *track_queries.BOX))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    years = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan, re.S).group(1)
+    assert "time_bin" in years and "1995" in years and "1997" in years
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan, re.S).group(1)
+    assert "Or(" in pushed and pushed.count("GreaterThanOrEqual(st_key,") > 20
+
+
 def test_feature_files_are_pruned_by_year_and_skipped_by_key(spark, folder, tmp_path):
     path = str(tmp_path / "features")
     points = st_index(track_queries.track_points_query(spark, folder))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from trackflow.checks.message_oracles import morton_cells, spread_columns
+from trackflow.checks.track_queries import BOX
 from trackflow.sources.adapters import RICH
 
 # Items of all orders that have any, numbered as in the messages; kept_idx leaves out videos.
@@ -285,6 +286,9 @@ SELECT message_id, item_uuid, "time", lon, lat, elev, speed FROM typed""",
 SELECT item_uuid, CAST(time_bin AS BIGINT) AS time_bin, st_key FROM {_KEYED}""",
     "lines_to_track_points": f"{_ITEMS} SELECT {_TYPED}, st_key FROM {_KEYED}",
     "feature_sink": _FEATURES,
+    "range_points": f"""{_ITEMS} SELECT {_TYPED}, st_key FROM {_KEYED}
+WHERE lon BETWEEN {BOX[0]} AND {BOX[2]} AND lat BETWEEN {BOX[1]} AND {BOX[3]}
+  AND "time" BETWEEN TIMESTAMP '{BOX[4]}' AND TIMESTAMP '{BOX[5]}'""",
     "document_sink": f"""{_WITH_BODIES}
 SELECT 'lake' AS "index", 'track_message' AS type, doc_id, json AS body FROM bodies""",
     "message_sink": f"""{_WITH_SUMMARY}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from trackflow.operators.normalize import (
     project_header,
     split_valid,
 )
+from trackflow.operators.ranges import points_within
 from trackflow.operators.sinks import (
     fan_out,
     observe_sink,
@@ -258,6 +261,17 @@ def feature_sink(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: A box of the test points: west, south, east, north, and the first and last time.
+BOX = (-60.0, -45.0, 75.5, 30.0, datetime(1995, 6, 1), datetime(1997, 3, 15, 12))
+
+
+def range_points(spark: SparkSession, folder: str) -> DataFrame:
+    """The points of a box, read from a table in index order by ranges of the key."""
+    path = shared_folder(spark, "range-points")
+    write_features(indexed_track_points(track_xml(spark, folder)), path)
+    return points_within(spark.read.parquet(path), *BOX).select(*_POINT_COLUMNS, "st_key")
+
+
 def document_sink(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "documents")
     write_documents(message_json(spark, folder), path)
@@ -346,6 +360,7 @@ QUERIES = {
     "st_index": st_index_query,
     "lines_to_track_points": lines_to_track_points,
     "feature_sink": feature_sink,
+    "range_points": range_points,
     "document_sink": document_sink,
     "message_sink": message_sink,
     "fan_out": fan_out_query,
