@@ -2,6 +2,7 @@
 
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from test_assembly import expected_documents
@@ -11,7 +12,7 @@ from trackflow.plans.documents import marked_lines
 from trackflow.sources.raw import RAW_SCHEMA, read_raw
 from trackflow.streaming.framing import StreamFrames, frame_stream
 from trackflow.streaming.queries import SinkReport, batch_writer, drain, named_query, start_query
-from trackflow.streaming.stateful import frame_stateful
+from trackflow.streaming.stateful import FrameProcessor, frame_stateful
 
 MARKS = {"START": '{"mark":"START"}', "END": '{"mark":"END"}'}
 
@@ -201,9 +202,91 @@ def test_stateful_framing_reports_unclosed_and_cuts_large_sessions(spark, tmp_pa
     second = [(1, 2, "START", ""), (1, 3, None, "bbbb"), (1, 1, None, "again")]
     third = [(1, 4, None, "cccc"), (1, 5, None, "d"), (1, 6, "END", ""), (1, 7, None, "late")]
     found = _stateful(spark, tmp_path, [first, second, third], max_document_bytes=8)
-    rows = found.orderBy("start_offset", "part").collect()
+    sessions = found.where("kind IN ('unclosed', 'fragment')").orderBy("start_offset", "part")
+    rows = sessions.collect()
     assert [(r.kind, r.start_offset, r.end_offset, r.part, r.n_lines, r.xml) for r in rows] == [
         ("unclosed", 0, None, 0, 0, None),
         ("fragment", 2, None, 0, 3, "bbbbccccd"),
         ("fragment", 2, 6, 1, 0, ""),
     ]
+    others = found.where("kind IN ('outside', 'late')").orderBy("channel", "end_offset").collect()
+    assert [(r.channel, r.kind, r.start_offset, r.end_offset, r.xml) for r in others] == [
+        (1, "late", None, 1, "again"), (1, "outside", None, 7, "late"), (2, "outside", None, 0, "orphan")
+    ]
+
+
+class _State:
+    """A value or a list in place of the state store."""
+
+    def __init__(self):
+        self.kept = None
+
+    def exists(self):
+        return self.kept is not None
+
+    def get(self):
+        return self.kept if self.kept is not None else []
+
+    def update(self, value):
+        self.kept = value
+
+    def appendList(self, values):
+        self.kept = [*self.get(), *values]
+
+    def clear(self):
+        self.kept = None
+
+
+class _Clock:
+    """Timers, and the time of a micro-batch."""
+
+    def __init__(self):
+        self.now, self.timers = 1_000, set()
+
+    def getValueState(self, name, schema):
+        return _State()
+
+    getListState = getValueState
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    def getExpiryTimeInMs(self):
+        return self.expired
+
+
+def test_a_session_that_nothing_touches_expires_with_its_text():
+    clock = _Clock()
+    processor = FrameProcessor("", None, ttl_seconds=10)
+    processor.init(clock)
+
+    def batch(*rows, wait=5_000):
+        clock.now += wait
+        columns = ["offset", "marker", "text"]
+        frame = pd.DataFrame(rows, columns=columns)
+        frame["line_bytes"] = frame["text"].str.len().fillna(0)
+        out = list(processor.handleInputRows((1,), iter([frame]), clock)) if rows else []
+        for at in sorted(at for at in clock.timers if at <= clock.now):
+            clock.timers.discard(at)
+            clock.expired = at
+            out += processor.handleExpiredTimer((1,), clock, clock)
+        return [tuple(row[1:]) for frame in out for row in frame.itertuples(index=False)]
+
+    assert batch((0, "START", None), (1, None, "a"), (2, None, "b")) == []
+    assert batch((3, None, "c"), (3, None, "twice")) == [("late", None, 3, 0, 1, "twice")]
+    assert batch(wait=9_000) == []  # the last line moved the end on
+    assert batch(wait=1_000) == [("expired", 0, 3, 0, 3, "abc")]
+    assert clock.timers == set() and processor.lines.kept is None
+    assert batch((4, None, "d"), (5, "END", None), (2, None, "b")) == [
+        ("late", None, 2, 0, 1, "b"), ("outside", None, 4, 0, 1, "d")
+    ]
+    assert batch((6, "START", None), (7, None, "e"), (8, "END", None)) == [
+        ("document", 6, 8, 0, 1, "e")
+    ]
+    assert clock.timers == set()

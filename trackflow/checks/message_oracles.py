@@ -180,6 +180,16 @@ SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines,
     lambda x: regexp_replace(x, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')), '') AS text
 FROM documents""",
     "frame_stream": _DOCUMENTS,
+    "stream_unclosed": f"""{_FRAMES}
+SELECT s.channel, s.session_id, s.start_offset FROM status s
+WHERE NOT s.is_complete AND s.start_offset IS NOT NULL AND EXISTS (
+  SELECT 1 FROM status n WHERE n.channel = s.channel AND n.start_offset > s.start_offset)""",
+    "stream_stateful": f"""{_FRAMES}
+SELECT channel, 'document' AS kind, start_offset, end_offset, n_lines, xml
+FROM documents_all WHERE start_offset IS NOT NULL
+UNION ALL SELECT channel, 'outside' AS kind, NULL AS start_offset, "offset" AS end_offset,
+  CAST(1 AS BIGINT) AS n_lines, clean AS xml
+FROM framed WHERE phase IN ('orphan', 'trailing') AND marker IS NULL""",
     "stream_table": _MARKED,
     "sql_functions": _SQL_FUNCTIONS,
     "sql_views": f"""{_FRAMES}

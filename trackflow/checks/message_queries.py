@@ -27,6 +27,7 @@ from trackflow.sources.adapters import doc_lines, events_as_messages, raw_messag
 from trackflow.sources.raw import raw_entries, read_raw
 from trackflow.streaming.framing import StreamFrames, frame_stream
 from trackflow.streaming.queries import drain, start_query
+from trackflow.streaming.stateful import frame_stateful
 
 # Small enough to make sessions of the test tables cross blocks and outgrow a document.
 SMALL_BLOCK = 500
@@ -177,6 +178,37 @@ def frame_stream_query(spark: SparkSession, folder: str) -> DataFrame:
     return StreamFrames(spark, f"{base}/out").read("documents").drop("batch_id")
 
 
+def _stateful_frames(spark: SparkSession, folder: str, micro_batches: int = 3) -> DataFrame:
+    """What stateful framing gives for the events, a third of them in each micro-batch."""
+    base = shared_folder(spark, "stateful")
+    messages = raw_messages(spark, folder)
+    top = messages.agg(F.max("offset")).first()[0] or 0
+    for n in range(micro_batches):
+        low, high = (top + 1) * n // micro_batches, (top + 1) * (n + 1) // micro_batches
+        part = messages.where((F.col("offset") >= low) & (F.col("offset") < high))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    raw = read_raw(
+        spark, "parquet", f"{base}/in", streaming=True, schema=messages.schema, maxFilesPerTrigger=1
+    )
+    framed = frame_stateful(marked_lines(raw))
+    drain(start_query(framed, f"{base}/out", "stateful", f"{base}/checkpoint", trigger=None))
+    return spark.read.parquet(f"{base}/out")
+
+
+def stream_unclosed(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions that a new START superseded, over three micro-batches."""
+    rows = _stateful_frames(spark, folder).where("kind = 'unclosed'")
+    return rows.select("channel", "session_id", "start_offset")
+
+
+def stream_stateful(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the lines outside of all sessions, over three micro-batches."""
+    rows = _stateful_frames(spark, folder).where("kind IN ('document', 'outside')")
+    return rows.select(
+        "channel", "kind", "start_offset", "end_offset", F.col("n_lines").cast("bigint"), "xml"
+    )
+
+
 def stream_table(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark, "stream-table")
     lines = marked_lines(_event_stream(spark, folder))
@@ -243,6 +275,8 @@ QUERIES = {
     "reassemble_text": reassemble_text,
     "frame_stream": frame_stream_query,
     "stream_table": stream_table,
+    "stream_unclosed": stream_unclosed,
+    "stream_stateful": stream_stateful,
     "sql_functions": sql_functions,
     "sql_views": sql_views,
 }
