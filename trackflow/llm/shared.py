@@ -45,14 +45,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows as a compressed table in the folder the cluster shares: like ``cut_lineage``, and
-    smaller on disk for narrow rows. Readers take only the columns they use."""
-    path = shared_folder(df.sparkSession, "stored")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def whole_text(column: str = "text") -> Column:
     """The text; a null one is empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
