@@ -106,15 +106,14 @@ def test_a_lost_state_is_an_error(spark, tmp_path):
         raise AssertionError("a missing state went unnoticed")
 
 
-def test_a_session_above_the_limit_is_passed_on_line_by_line(spark, tmp_path):
+def test_a_session_above_the_limit_leaves_line_by_line(spark, tmp_path):
     frames = StreamFrames(spark, str(tmp_path), max_document_bytes=8)
     frames(_batch(spark, [(1, 0, "START", ""), (1, 1, None, "aaaa"), (2, 0, "START", "")]), 0)
     frames(_batch(spark, [(1, 2, None, "bbbbb"), (2, 1, None, "ok")]), 1)
-    state = spark.read.parquet(f"{tmp_path}/open_lines/batch_id=1")
-    assert sorted((r.channel, r.offset, r.passed_on) for r in state.collect()) == [
-        (1, 0, True),
-        (2, 0, False),
-        (2, 1, False),
+    state = spark.read.parquet(f"{tmp_path}/carry/batch_id=1")
+    assert sorted((r.channel, r.offset, r.marker, r.start_batch) for r in state.collect()) == [
+        (1, 0, "START", 0),
+        (2, 0, "START", 0),
     ]
     frames(_batch(spark, [(1, 3, None, "c"), (1, 4, "END", ""), (2, 2, "END", "")]), 2)
     assert documents_of(frames) == [(2, 0, "ok")]
@@ -124,6 +123,21 @@ def test_a_session_above_the_limit_is_passed_on_line_by_line(spark, tmp_path):
     assert [(row.channel, row.is_complete) for row in closed] == [(1, True), (2, True)]
 
 
+def test_lines_keep_their_session_across_batches(spark, tmp_path):
+    frames = StreamFrames(spark, str(tmp_path))
+    frames(_batch(spark, [(1, 0, None, "early"), (1, 1, "START", ""), (1, 2, None, "a")]), 0)
+    frames(_batch(spark, [(1, 3, "END", ""), (1, 4, None, "after"), (2, 0, "END", "")]), 1)
+    frames(_batch(spark, [(1, 5, None, "later"), (1, 6, "END", ""), (1, 7, "START", "")]), 2)
+    rows = frames.read("lines").orderBy("channel", "offset").collect()
+    assert [(r.offset, r.start_offset, r.phase) for r in rows] == [
+        (0, None, "orphan"), (1, 1, "start"), (2, 1, "content"), (3, 1, "end"), (4, 1, "trailing"),
+        (5, 1, "trailing"), (6, 1, "trailing"), (7, 7, "start"), (0, None, "orphan"),
+    ]
+    assert documents_of(frames) == [(1, 1, "a")]
+    closed = frames.read("sessions").collect()
+    assert [(r.start_offset, r.is_complete, r.end_offset) for r in closed] == [(1, True, 3)]
+
+
 def test_superseded_sessions_and_rejects_are_reported(spark, tmp_path):
     frames = StreamFrames(spark, str(tmp_path))
     frames(_batch(spark, [(1, 0, "START", ""), (1, 1, None, "x"), (1, 2, "START", "")]), 0)

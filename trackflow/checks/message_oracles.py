@@ -180,6 +180,9 @@ SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines,
     lambda x: regexp_replace(x, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')), '') AS text
 FROM documents""",
     "frame_stream": _DOCUMENTS,
+    "stream_lines": f"""{_FRAMES}
+SELECT channel, "offset", session_id AS id, line AS xml FROM framed""",
+    "stream_documents": _DOCUMENTS,
     "stream_unclosed": f"""{_FRAMES}
 SELECT s.channel, s.session_id, s.start_offset FROM status s
 WHERE NOT s.is_complete AND s.start_offset IS NOT NULL AND EXISTS (

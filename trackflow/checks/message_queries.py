@@ -178,19 +178,41 @@ def frame_stream_query(spark: SparkSession, folder: str) -> DataFrame:
     return StreamFrames(spark, f"{base}/out").read("documents").drop("batch_id")
 
 
-def _stateful_frames(spark: SparkSession, folder: str, micro_batches: int = 3) -> DataFrame:
-    """What stateful framing gives for the events, a third of them in each micro-batch."""
-    base = shared_folder(spark, "stateful")
+def _batched_stream(
+    spark: SparkSession, folder: str, base: str, micro_batches: int = 3
+) -> DataFrame:
+    """The events as a stream of micro-batches, an equal part of their offsets in each."""
     messages = raw_messages(spark, folder)
     top = messages.agg(F.max("offset")).first()[0] or 0
     for n in range(micro_batches):
         low, high = (top + 1) * n // micro_batches, (top + 1) * (n + 1) // micro_batches
         part = messages.where((F.col("offset") >= low) & (F.col("offset") < high))
         part.coalesce(1).write.mode("append").parquet(f"{base}/in")
-    raw = read_raw(
+    return read_raw(
         spark, "parquet", f"{base}/in", streaming=True, schema=messages.schema, maxFilesPerTrigger=1
     )
-    framed = frame_stateful(marked_lines(raw))
+
+
+def stream_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of the stream with the id of its session, over three micro-batches."""
+    base = shared_folder(spark, "stream-lines")
+    raw = _batched_stream(spark, folder, base)
+    drain(frame_stream(raw, f"{base}/out", f"{base}/checkpoint", trigger=None))
+    return framing.line_table(StreamFrames(spark, f"{base}/out").read("lines"))
+
+
+def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of sessions that go over three micro-batches."""
+    base = shared_folder(spark, "stream-documents")
+    raw = _batched_stream(spark, folder, base)
+    drain(frame_stream(raw, f"{base}/out", f"{base}/checkpoint", trigger=None, block_size=SMALL_BLOCK))
+    return StreamFrames(spark, f"{base}/out").read("documents").drop("batch_id")
+
+
+def _stateful_frames(spark: SparkSession, folder: str) -> DataFrame:
+    """What stateful framing gives for the events, over three micro-batches."""
+    base = shared_folder(spark, "stateful")
+    framed = frame_stateful(marked_lines(_batched_stream(spark, folder, base)))
     drain(start_query(framed, f"{base}/out", "stateful", f"{base}/checkpoint", trigger=None))
     return spark.read.parquet(f"{base}/out")
 
@@ -275,6 +297,8 @@ QUERIES = {
     "reassemble_text": reassemble_text,
     "frame_stream": frame_stream_query,
     "stream_table": stream_table,
+    "stream_lines": stream_lines,
+    "stream_documents": stream_documents,
     "stream_unclosed": stream_unclosed,
     "stream_stateful": stream_stateful,
     "sql_functions": sql_functions,

@@ -1,9 +1,12 @@
 """Framing a stream: a document leaves in the micro-batch that brings its END.
 
-Each micro-batch is framed by the batch operators together with the lines of the sessions that
-were open before it.  These open lines are a table, written anew by each batch under its id, so
-a repeated batch reads the same state and overwrites its own output.  A busy channel is cut
-into blocks as in a batch job; nothing runs in Python.
+Each micro-batch is framed by the batch operators.  What it needs from before is the last START
+and the last END of each channel: two narrow rows, written anew by each batch under its id, so a
+repeated batch reads the same state and overwrites its own output.  The lines themselves are
+written once, with the id of their session, to a table that grows by a folder per batch; a
+session that ends is assembled from the folders since its START.  So an open session costs
+nothing while it waits, however long it is.  A busy channel is cut into blocks as in a batch job;
+nothing runs in Python.
 
 The source is read once: the lines of a micro-batch are written to a table first, and the rest
 runs as batch queries on it, with adaptive execution, which a streaming plan does not have.
@@ -14,13 +17,13 @@ Within a micro-batch rows may come in any order.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trackflow.functions.text import session_id_of
 from trackflow.operators.assembly import collect_documents, flag_oversize, oversize_texts
-from trackflow.operators.framing import BLOCK_OFFSETS, assign_sessions_blocked, session_status
+from trackflow.operators.framing import BLOCK_OFFSETS, assign_sessions_blocked
 from trackflow.operators.messages import decode_value, drop_prolog, mark_lines, strip_envelope
 from trackflow.session import path_exists, remove_path
 from trackflow.streaming.queries import TRIGGER, start_query
@@ -43,10 +46,14 @@ def _keep_message(df: DataFrame) -> DataFrame:
 class StreamFrames:
     """One framing step per micro-batch, with its tables under ``path``.
 
-    ``documents``: one row per completed session.  ``oversize``: the content lines of sessions
-    above ``max_document_bytes``, passed on as they come and not kept in the state.
-    ``sessions``: every session that closed, complete or superseded by a new START.
-    ``rejects``: messages without envelope, value or position.
+    ``lines``: every line with the id of its session, markers, orphans and trailing lines
+    included.  ``documents``: one row per completed session.  ``sessions``: every session that
+    closed, complete or superseded by a new START.  ``rejects``: messages without envelope, value
+    or position.  With ``max_document_bytes``, ``oversize`` has the content lines of completed
+    sessions above it, which then give no document.
+
+    ``carry`` is the state.  Folders of ``lines`` older than the ``start_batch`` of the oldest
+    open session there are not read again.
     """
 
     def __init__(
@@ -69,69 +76,112 @@ class StreamFrames:
         """An output table over all batches."""
         return self.spark.read.parquet(f"{self.path}/{table}")
 
-    def _state(self, batch_id: int) -> DataFrame:
-        """Lines of the open sessions; of a session that was passed on, only the START."""
-        version = _version(self.path, "open_lines", batch_id - 1)
-        if not path_exists(self.spark, version):
-            raise ValueError(f"no state for batch {batch_id - 1} at {version}")
-        return self.spark.read.parquet(version)
+    def _read_version(self, table: str, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(_version(self.path, table, batch_id))
+
+    def _carry(self, batch_id: int, channel_type: str) -> DataFrame:
+        """The last START and, if the session has one, END of each channel before the batch."""
+        if batch_id == 0:
+            schema = f"channel {channel_type}, offset long, marker string, start_batch long"
+            return self.spark.createDataFrame([], schema)
+        if not path_exists(self.spark, _version(self.path, "carry", batch_id - 1)):
+            raise ValueError(f"no state for batch {batch_id - 1} under {self.path}/carry")
+        return self._read_version("carry", batch_id - 1)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = self.spark
         arrived = mark_lines(strip_envelope(_keep_message(drop_prolog(decode_value(batch)))))
-        rejected = F.col("reject_reason").isNotNull()
-        message = F.when(rejected, F.col("message")).alias("message")
+        carry = self._carry(batch_id, arrived.schema["channel"].dataType.simpleString())
+        message = F.when(F.col("reject_reason").isNotNull(), F.col("message")).alias("message")
         _write(
             arrived.select(*LINE_COLUMNS, "reject_reason", message),
             self.path,
             "arrived",
             batch_id,
         )
-        arrived = spark.read.parquet(_version(self.path, "arrived", batch_id))
+        arrived = self._read_version("arrived", batch_id)
         rejects = arrived.where("reject_reason IS NOT NULL").select(
             "channel", "offset", "message", "reject_reason"
         )
-        lines = arrived.where("reject_reason IS NULL").select(*LINE_COLUMNS)
-        if batch_id > 0:
-            state = self._state(batch_id)
-            lines = state.select(*LINE_COLUMNS).unionByName(lines)
-        framed = assign_sessions_blocked(lines, self.block_size, keep_open_flag=True)
-        flagged = flag_oversize(
-            framed.where("start_offset IS NOT NULL"),
-            self.separator,
-            self.clean,
-            self.max_document_bytes,
+        new = arrived.where("reject_reason IS NULL").select(
+            *LINE_COLUMNS, F.lit(False).alias("carried")
         )
-        passed_on = F.col("is_oversize")
-        if batch_id > 0:
-            known = state.where("passed_on").select(
-                "channel", F.col("offset").alias("start_offset"), F.lit(True).alias("known")
-            )
-            flagged = flagged.join(known, ["channel", "start_offset"], "left")
-            passed_on = passed_on | F.coalesce("known", F.lit(False))
-        kept = flagged.withColumn("passed_on", passed_on).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._write_outputs(kept, rejects, batch_id)
-        finally:
-            kept.unpersist()
-        remove_path(spark, _version(self.path, "arrived", batch_id))
+        before = carry.select(
+            "channel", "offset", F.lit(None).cast("string").alias("line"), "marker",
+            F.lit(True).alias("carried"),
+        )
+        framed = assign_sessions_blocked(new.unionByName(before), self.block_size)
+        _write(framed.where("NOT carried").drop("carried"), self.path, "lines", batch_id)
+        lines = self._read_version("lines", batch_id)
+        self._write_outputs(lines, carry, batch_id)
+        _write(rejects, self.path, "rejects", batch_id)
+        remove_path(self.spark, _version(self.path, "arrived", batch_id))
         if batch_id > 1:
-            remove_path(spark, _version(self.path, "open_lines", batch_id - 2))
-
-    def _write_outputs(self, kept: DataFrame, rejects: DataFrame, batch_id: int) -> None:
-        small, big = kept.where("NOT passed_on"), kept.where("passed_on")
-        sessions = session_status(kept.where("NOT is_open")).drop("n_lines")
-        is_start = F.col("marker").eqNullSafe("START")
-        open_lines = kept.where(F.col("is_open") & (~F.col("passed_on") | is_start))
-        outputs = {
-            "documents": collect_documents(small, self.separator),
-            "oversize": oversize_texts(big),
-            "sessions": sessions,
-            "rejects": rejects,
-            "open_lines": open_lines.select(*LINE_COLUMNS, "passed_on"),
-        }
-        for table, df in outputs.items():
-            _write(df, self.path, table, batch_id)
+            remove_path(self.spark, _version(self.path, "carry", batch_id - 2))
+
+    def _write_outputs(self, lines: DataFrame, carry: DataFrame, batch_id: int) -> None:
+        marks = lines.where("marker IS NOT NULL").select(
+            "channel", "offset", "marker", F.lit(batch_id).cast("long").alias("start_batch")
+        )
+        both = carry.unionByName(marks)
+        last = both.groupBy("channel").agg(
+            F.max(F.when(F.col("marker") == "START", F.struct("offset", "start_batch"))).alias("s"),
+            F.max(F.when(F.col("marker") == "END", F.struct("offset", "start_batch"))).alias("e"),
+        )
+        closing = F.col("s").isNull() | (F.col("e.offset") > F.col("s.offset"))
+        kept = F.array(
+            F.when(F.col("s").isNotNull(), F.struct(F.lit("START").alias("marker"), "s.*")),
+            F.when(
+                closing & F.col("e").isNotNull(), F.struct(F.lit("END").alias("marker"), "e.*")
+            ),
+        )
+        carried = last.select("channel", F.inline(F.array_compact(kept)))
+        _write(carried.select(*carry.columns), self.path, "carry", batch_id)
+
+        open_before = carry.groupBy("channel").agg(F.count_if(F.col("marker") == "END").alias("x"))
+        starts = both.where("marker = 'START'").select(
+            "channel", F.col("offset").alias("start_offset"), "start_batch"
+        )
+        # Of the sessions from before, those that have their END are done with.
+        starts = starts.join(open_before, "channel", "left").where(
+            (F.col("start_batch") == batch_id) | (F.col("x") == 0)
+        )
+        ends = lines.where("marker = 'END' AND NOT closed AND start_offset IS NOT NULL").select(
+            "channel", "start_offset", F.col("offset").alias("end_offset")
+        )
+        newest = last.select("channel", F.col("s.offset").alias("newest"))
+        closed = (
+            starts.join(ends, ["channel", "start_offset"], "left")
+            .join(newest, "channel")
+            .where("end_offset IS NOT NULL OR start_offset < newest")
+        )
+        _write(
+            closed.select(
+                "channel",
+                session_id_of(F.col("channel"), F.col("start_offset")).alias("session_id"),
+                F.col("end_offset").isNotNull().alias("is_complete"),
+                "start_offset",
+                "end_offset",
+                "start_batch",
+            ),
+            self.path,
+            "sessions",
+            batch_id,
+        )
+        completed = self._read_version("sessions", batch_id).where("is_complete")
+        first = completed.agg(F.min("start_batch")).first()[0]
+        batches = range(batch_id if first is None else first, batch_id + 1)
+        stored = self.spark.read.parquet(
+            *[_version(self.path, "lines", number) for number in batches]
+        )
+        wanted = stored.join(
+            completed.select("channel", "start_offset"), ["channel", "start_offset"], "left_semi"
+        )
+        flagged = flag_oversize(
+            wanted, self.separator, self.clean, self.max_document_bytes, block_size=self.block_size
+        )
+        small, big = flagged.where("NOT is_oversize"), flagged.where("is_oversize")
+        _write(collect_documents(small, self.separator), self.path, "documents", batch_id)
+        _write(oversize_texts(big), self.path, "oversize", batch_id)
 
 
 def frame_stream(
