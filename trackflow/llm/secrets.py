@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -120,17 +122,27 @@ def named_spans(text: str) -> list[Span]:
     """Literals of sensitive names, also where a constant carries them there."""
     if "=" not in text and ":" not in text:
         return []
-    constants: dict[str, list[tuple[int, int, bool]]] = {}
+    # Each assignment is a step with its literals and the steps that its names stood for then. A
+    # step is followed once, so chains and diamonds of constants cost what their text does.
+    literals_of: list[list[tuple[int, int, bool]]] = []
+    steps_of: list[list[int]] = []
+    latest: dict[str, int] = {}
+    followed: set[int] = set()
     found: set[Span] = set()
     for name, literals, names in assignments(text):
-        reached = [x for x in literals if text[x[0] : x[1]] not in constants]
-        for used in names:
-            reached += constants.get(used, [])
-        constants[name] = reached
-        if sensitive(name):
+        literals_of.append([x for x in literals if text[x[0] : x[1]] not in latest])
+        steps_of.append([latest[used] for used in names if used in latest])
+        latest[name] = len(steps_of) - 1
+        wait = [latest[name]] if sensitive(name) else []
+        while wait:
+            step = wait.pop()
+            if step in followed:
+                continue
+            followed.add(step)
+            wait += steps_of[step]
             found |= {
                 ("named", start, end)
-                for start, end, quoted in reached
+                for start, end, quoted in literals_of[step]
                 if score(text[start:end], quoted) >= THRESHOLD
             }
     return list(found)
@@ -139,11 +151,14 @@ def named_spans(text: str) -> list[Span]:
 def spans_of(text: str) -> list[Span]:
     """All spans by start, then kind as listed; the added ones only where no base span covers."""
     base = base_spans(text)
-    added = [
-        (kind, start, end)
-        for kind, start, end in named_spans(text)
-        if not any(s <= start and end <= e for _, s, e in base)
-    ]
+    starts = sorted(start for _, start, _ in base)
+    furthest = list(accumulate((end for _, _, end in sorted(base, key=lambda x: x[1])), max))
+
+    def covered(start: int, end: int) -> bool:
+        before = bisect_right(starts, start)
+        return before > 0 and furthest[before - 1] >= end
+
+    added = [span for span in named_spans(text) if not covered(*span[1:])]
     return sorted(base + added, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
