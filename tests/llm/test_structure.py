@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oracle import connect, differences
-from trackflow.llm import boosting, merkle, queries, repair, urls
+from trackflow.llm import boosting, linededup, merkle, queries, repair, secrets, urls
 from trackflow.llm.placing import placed
 from trackflow.llm.shared import table
 
@@ -335,6 +336,42 @@ def test_trees_filter_held_out_urls(spark):
     assert sum((r.verdict == "block") == r.bad for r in found) >= 0.95 * len(found)
 
 
+# Defects of earlier operators
+
+
+def test_stepwise_deletions_lose_no_kept_key():
+    rng = np.random.default_rng(9)
+    hi, lo = (rng.integers(-(2**62), 2**62, 60_000) for _ in range(2))
+    filters = linededup.Cuckoo()
+    for at in range(0, len(hi), 3_000):
+        filters.insert(hi[at : at + 3_000], lo[at : at + 3_000])
+    gone = rng.permutation(len(hi)) < len(hi) // 2
+    for part in np.array_split(np.flatnonzero(gone), 5):
+        filters.delete(hi[part], lo[part])
+    assert filters.contains(hi[~gone], lo[~gone]).all()
+    assert filters.contains(hi[gone], lo[gone]).mean() < 0.01
+
+
+def test_chains_of_constants_cost_what_their_text_does():
+    lines = ['a0 = "kX92-mQ41-zP77"', *(f"a{n} = a{n - 1} + a{n - 1}" for n in range(1, 3_000))]
+    text = "\n".join([*lines, "client_secret = a2999"])
+    started = time.perf_counter()
+    spans = secrets.spans_of(text)
+    assert time.perf_counter() - started < 1
+    assert [text[start:end] for kind, start, end in spans if kind == "named"] == ["kX92-mQ41-zP77"]
+
+
+def test_added_spans_are_those_no_base_span_covers():
+    text = "\n".join(f'password = "aB3{n:09d}xY"\nauth_secret = "q-{n}-Zt 8!x{n}"' for n in range(2_000))
+    base = secrets.base_spans(text)
+    plain = [x for x in secrets.named_spans(text) if not any(s <= x[1] and x[2] <= e for _, s, e in base[:40])]
+    found = [x for x in secrets.spans_of(text) if x[0] == "named"]
+    limit = base[39][2]
+    assert [x for x in found if x[2] <= limit] == sorted(
+        (x for x in plain if x[2] <= limit), key=lambda x: x[1:]
+    )
+
+
 def test_crc32_in_sql(tables):
     for text in ("5", "12:3", "-7: "):
         sql = f"SELECT {queries.crc32_of(chr(39) + text + chr(39))}"

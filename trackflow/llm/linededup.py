@@ -158,15 +158,33 @@ class Cuckoo:
             self.layers.insert(0, layer)
 
     def delete(self, hi: np.ndarray, lo: np.ndarray) -> None:
-        """Remove one entry of each key; all keys must be in the filter, each once."""
+        """Remove one entry of each key; all keys must be in the filter, each once.
+
+        Layers differ in size, so equal fingerprints in one may stand for different keys of
+        another. An entry goes only where a single layer may hold its key; else it stays, and a
+        key that is gone is asked for once more in the exact tables, which never do harm.
+        """
         prints, spread = self._prints(hi, lo)
-        for n in range(len(prints)):
-            for layer in self.layers:
-                places = self._places(layer, spread[n : n + 1], prints[n : n + 1])
-                hits = [(p[0], s) for p in places for s in range(SLOTS) if layer[p[0], s] == prints[n]]
-                if hits:
-                    layer[hits[0]] = 0
-                    break
+        hits = np.zeros((len(self.layers), len(prints)), bool)
+        for n, layer in enumerate(self.layers):
+            for place in self._places(layer, spread, prints):
+                hits[n] |= (layer[place] == prints[:, None]).any(axis=1)
+        alone = hits.sum(axis=0) == 1
+        for layer, hit in zip(self.layers, hits):
+            wait = np.flatnonzero(hit & alone)
+            while len(wait):
+                first, second = self._places(layer, spread[wait], prints[wait])
+                mine = prints[wait][:, None]
+                place = np.where((layer[first] == mine).any(axis=1), first, second)
+                match = layer[place] == mine
+                entry = place * SLOTS + match.argmax(axis=1)
+                entry[~match.any(axis=1)] = -1
+                taken, chosen = np.unique(entry, return_index=True)
+                chosen = chosen[taken >= 0]
+                layer.reshape(-1)[entry[chosen]] = 0
+                left = entry >= 0
+                left[chosen] = False
+                wait = wait[left]
 
 
 def _filter_of(filters: pd.DataFrame) -> Cuckoo:
