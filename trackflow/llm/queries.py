@@ -26,6 +26,7 @@ from trackflow.llm import (
 )
 from trackflow.llm import topk as search
 from trackflow.llm.manifest_sql import crc32_of, manifest_sql
+from trackflow.llm.oracles import LINES, NEAR_VECTORS, SHINGLES, TOP_K
 from trackflow.llm.repair_sql import REPAIR
 from trackflow.llm.shared import cut_lineage, ship_package, table, whole_text
 from trackflow.session import shared_folder
@@ -187,6 +188,10 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]):
 
 #: Queries with the same rows from SQL; the others are tested against brute force.
 ORACLES: dict[str, str] = {
+    "op2_embedding_near_dedup": NEAR_VECTORS,
+    "op6_line_dedup": LINES,
+    "op7_ngram_jaccard_join": SHINGLES,
+    "op10_exact_top_k": TOP_K,
     "op12_merkle_manifest": manifest_sql(
         f"CASE WHEN {crc32_of('CAST(doc_id AS VARCHAR)')} % 2 = 0"
         " THEN replace(text, chr(10), '') ELSE text END"
