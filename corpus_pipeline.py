@@ -1,4 +1,11 @@
-"""A training corpus from documents: language, lines, near copies, secrets, packed sequences."""
+"""A training corpus from documents: language, lines, near copies, secrets, packed sequences.
+
+Defined results of every stage: an empty table gives an empty one; a null text counts as empty and
+stays null where a stage keeps it; texts of any length are read whole; repeated rows are judged
+alike, so all of them stay or go, but for near copies, where the rows of the smallest id stay.
+The stages read ``doc_id``, ``text``, ``lang`` and ``n_chars``; other columns are carried along.
+``_told`` and ``_drops`` are names the stages use themselves.
+"""
 
 from __future__ import annotations
 
