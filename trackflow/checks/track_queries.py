@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from trackflow.functions.xml import DETAIL_FIELDS, HEADER_FIELDS, POINT_FIELDS, POSITION_FIELDS
 from trackflow.operators import parsing, rewrite
 from trackflow.operators.assembly import document_stats, repair_documents
-from trackflow.operators.features import message_items, st_index, track_points
+from trackflow.operators.features import message_items, track_points
 from trackflow.operators.normalize import (
     geodetic_position,
     is_point,

@@ -15,7 +15,6 @@ from trackflow.functions.xml import (
     TRACK_POINT,
     VIDEO_INFORMATION,
 )
-from trackflow.operators.hold import hold
 from trackflow.operators.rewrite import raw_items
 
 
