@@ -9,6 +9,7 @@ from test_assembly import expected_documents
 from test_framing import random_rows
 from trackflow.operators.sinks import observe_sink, write_messages
 from trackflow.plans.documents import marked_lines
+from trackflow.session import STATE_STORE
 from trackflow.sources.raw import RAW_SCHEMA, read_raw
 from trackflow.streaming.framing import StreamFrames, frame_stream
 from trackflow.streaming.queries import SinkReport, batch_writer, drain, named_query, start_query
@@ -229,6 +230,21 @@ def test_stateful_framing_reports_unclosed_and_cuts_large_sessions(spark, tmp_pa
     ]
 
 
+def test_stateful_framing_in_a_session_with_the_default_state_store(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before, default = spark.conf.get(key), STATE_STORE.replace("RocksDB", "HDFSBacked")
+    source, out = str(tmp_path / "source"), str(tmp_path / "out")
+    put(spark, source, as_messages([(1, 0, "START", ""), (1, 1, None, "a"), (1, 2, "END", "")]))
+    spark.conf.set(key, default)
+    try:
+        framed = frame_stateful(marked_lines(stream_of(spark, source)))
+        drain(start_query(framed, out, "default", str(tmp_path / "c"), None, state_store=STATE_STORE))
+        assert spark.conf.get(key) == default
+    finally:
+        spark.conf.set(key, before)
+    assert [(r.kind, r.xml) for r in spark.read.parquet(out).collect()] == [("document", "a")]
+
+
 class _State:
     """A value or a list in place of the state store."""
 

@@ -22,7 +22,7 @@ from trackflow.operators.messages import (
     strip_envelope,
 )
 from trackflow.plans.documents import documents, marked_lines, session_lines
-from trackflow.session import shared_folder
+from trackflow.session import STATE_STORE, shared_folder
 from trackflow.sources.adapters import doc_lines, events_as_messages, raw_messages, table
 from trackflow.sources.raw import raw_entries, read_raw
 from trackflow.streaming.framing import StreamFrames, frame_stream
@@ -213,7 +213,10 @@ def _stateful_frames(spark: SparkSession, folder: str) -> DataFrame:
     """What stateful framing gives for the events, over three micro-batches."""
     base = shared_folder(spark, "stateful")
     framed = frame_stateful(marked_lines(_batched_stream(spark, folder, base)))
-    drain(start_query(framed, f"{base}/out", "stateful", f"{base}/checkpoint", trigger=None))
+    query = start_query(
+        framed, f"{base}/out", "stateful", f"{base}/checkpoint", None, state_store=STATE_STORE
+    )
+    drain(query)
     return spark.read.parquet(f"{base}/out")
 
 

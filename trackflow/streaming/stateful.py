@@ -147,7 +147,8 @@ def frame_stateful(
 ) -> DataFrame:
     """Streaming DataFrame of documents from a stream of marked lines; see ``FrameProcessor``.
 
-    Needs the RocksDB state store provider.  Lines before any START and after END are not kept
+    Start it with ``start_query(..., state_store=STATE_STORE)``: the state is a value and a list,
+    which the default state store cannot keep.  Lines before any START and after END are not kept
     in the state.  Without ``ttl_seconds`` an open session waits for ever; with it, run the
     query with a processing-time trigger: timers keep a draining one from ending.
     """
