@@ -8,6 +8,7 @@ from xml.etree import ElementTree
 import pytest
 from pyspark.sql import functions as F
 
+from trackflow.functions import nodes
 from trackflow.functions.spacetime import spread, st_key, year_cell
 from trackflow.functions.text import utc_timestamp_ntz
 from trackflow.functions.xml import POINT_FIELDS
@@ -264,6 +265,30 @@ def test_a_message_with_very_many_elements(spark):
     assert rows[1].xml == f"<items>{many}</items>" and rows[2].type == "TrackPoint"
 
 
+def test_children_are_cut_as_whole_pieces_and_by_counting_where_they_are_too_deep(spark):
+    deep = nodes._DEPTH + 2
+    texts = [
+        '<a k="1 > 0"><b><c/></b>t<!-- <x> --></a> u <d/><?p <y>?><e ><![CDATA[</e>]]>v</e >',
+        "<q>" * deep + "w" + "</q>" * deep + "<r>1</r>",
+        "<s>1</s><open>",
+        None,
+    ]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, xml string")
+    xml = F.col("xml")
+    rows = df.select(
+        F.regexp_extract_all(xml, F.lit(nodes._PIECE), F.lit(0)).alias("pieces"),
+        nodes.children(xml).alias("found"),
+        nodes._deep_children(xml).alias("counted"),
+    ).orderBy("id").collect()
+    whole = [piece for piece in rows[0].pieces if piece[1] not in "!?u"]
+    assert whole == [node.outer for node in rows[0].found] and len(whole) == 3
+    assert [node.inner for node in rows[0].found] == [
+        "<b><c/></b>t<!-- <x> -->", "", "<![CDATA[</e>]]>v"
+    ]
+    assert "<" in rows[1].pieces and [len(row.found or []) for row in rows] == [3, 2, 1, 0]
+    assert all(row.found == row.counted for row in rows)
+
+
 def test_messages_in_comments_do_not_count(spark):
     text = "<!-- <TrackMessage> -->" + message("<items><![CDATA[<TrackMessage>]]></items>")
     assert reasons(spark, text, message() + "<!-- x -->") == {}
