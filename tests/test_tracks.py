@@ -6,6 +6,7 @@ import json
 from xml.etree import ElementTree
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from trackflow.functions import nodes
@@ -22,6 +23,7 @@ from trackflow.operators.parsing import (
     to_documents,
 )
 from trackflow.operators.rewrite import rewrite, to_track_xml, track_children
+from trackflow.plans import outputs
 from trackflow.plans.outputs import tagged_outputs
 
 POSITION = "<latitude>1.5</latitude><longitude>2.5</longitude><elevation>3</elevation>"
@@ -355,3 +357,28 @@ def test_inference_sees_every_document(spark):
     rows = [("<TrackMessage><a>1</a></TrackMessage>",), ("<TrackMessage><b>x</b></TrackMessage>",)]
     schema = infer_schema(spark.createDataFrame(rows, "xml string"))
     assert schema.names == ["a", "b"]
+
+
+def test_outputs_are_written_without_a_sort_by_kind(spark, tmp_path, monkeypatch):
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = DataFrameWriter.parquet
+
+    def parquet(writer, *args, **kwargs):
+        seen.append(int(spark.conf.get(setting)))
+        return write(writer, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    texts = [message(point()), message(point(without=["trackPointSpeed"])), "<TrackMessage>"]
+    df = spark.createDataFrame(
+        [(str(i), x) for i, x in enumerate(texts)], "message_id string, xml string"
+    )
+    before = spark.conf.get(setting)
+    outputs.write_outputs(df.coalesce(1), str(tmp_path / "outputs"), ["message_id"])
+    assert seen == [len(outputs.KINDS)] and spark.conf.get(setting) == before
+    kinds = [outputs.DOCUMENT, outputs.REJECTED, outputs.POINT]
+    found = [outputs.read_output(spark, str(tmp_path / "outputs"), kind) for kind in kinds]
+    assert [sorted(r.message_id for r in rows.collect()) for rows in found] == [
+        ["0", "1"],
+        ["1", "2"],
+        ["0"],
+    ]
