@@ -11,9 +11,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from oracle import connect, differences
-from trackflow.llm import boosting, linededup, merkle, queries, repair, secrets, urls
+from trackflow.llm import (
+    boosting,
+    jaccard,
+    linededup,
+    merkle,
+    queries,
+    repair,
+    secrets,
+    urls,
+)
 from trackflow.llm.placing import placed
-from trackflow.llm.shared import table
+from trackflow.llm.shared import per_text, table
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -376,3 +385,29 @@ def test_crc32_in_sql(tables):
     for text in ("5", "12:3", "-7: "):
         sql = f"SELECT {queries.crc32_of(chr(39) + text + chr(39))}"
         assert tables.execute(sql).fetchone()[0] == zlib.crc32(text.encode())
+
+
+# N-gram join and packing
+
+
+def test_parities_do_not_move_with_the_places_of_shingles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "cut_lineage", lambda df: df)
+    leader = "struct<doc_id:long, prefix:array<long>, bits:array<long>>"
+    rows = [(n, (n, [1, 2, n + 10], [n] * 8), 1) for n in range(6)]
+    groups = spark.createDataFrame(rows, f"n long, leader {leader}, size long")
+    places = jaccard._places(groups)
+    assert places._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted({r.token for r in places.collect()}) == [1, 2]
+    bits = groups.select(F.col("leader.doc_id").alias("group"), "n", "leader.bits")
+    members = spark.createDataFrame([], "doc_id long, bits array<long>, group long, n long")
+    pairs = jaccard._first_pairs(places, bits, members, 90)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window [min(") : plan.index("Window [count(")]
+    assert "place#" in below and "bits#" not in below
+
+
+def test_a_task_frees_the_words_it_met(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    freed = spark.sparkContext.accumulator(0)
+    rows = per_text(docs.coalesce(1), "n int", lambda t: [(len(t),)], done=lambda: freed.add(1))
+    assert sorted(r.n for r in rows.collect()) == [1, 3] and freed.value == 1

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackflow.llm.components import connected
-from trackflow.llm.shared import cut_lineage, text_rows
+from trackflow.llm.shared import cut_lineage, give_back, text_rows
 
 WORDS = 3
 PERCENT = 90
@@ -101,8 +101,12 @@ def _sets(docs: DataFrame, words: int, share: float) -> DataFrame:
                     held, size = [], 0
             if rows:
                 yield _batch(np.zeros(len(rows)), *zip(*rows, strict=True))
+            del batch, rows
         if held:
             yield common()
+        held = []
+        _hashes.clear()
+        give_back()
 
     def _batch(kind, key, n, hi, lo) -> pa.RecordBatch:
         nothing = [None] * len(kind)
@@ -131,7 +135,7 @@ def _per_set(docs: DataFrame, words: int, schema: str, make) -> DataFrame:
 
     docs = docs.where(F.col("doc_id").isNotNull())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return per_text(docs, schema, rows)
+    return per_text(docs, schema, rows, done=_hashes.clear)
 
 
 def parities(found: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -187,19 +191,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
     return whole.where(100 * both >= percent * either).select("a", "b")
 
 
-def _fits(percent: int, places: bool = True):
+def _fits(percent: int, places: bool = True, bits: bool = True):
     """Whether two sets with these sizes and parities, meeting at these places of their orders,
     may still reach the threshold."""
     sizes = F.col("n_a") + F.col("n_b")
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    differ = F.aggregate(  # of unknown parities, an empty array, zip_with makes nulls
-        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-        F.lit(0),
-        lambda s, x: s + F.coalesce(x, F.lit(0)),
-    )
-    fits = (100 * small >= percent * large) & (
-        (100 + percent) * differ <= (100 - percent) * sizes
-    )
+    fits = 100 * small >= percent * large
+    if bits:
+        differ = F.aggregate(  # of unknown parities, an empty array, zip_with makes nulls
+            F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+            F.lit(0),
+            lambda s, x: s + F.coalesce(x, F.lit(0)),
+        )
+        fits = fits & ((100 + percent) * differ <= (100 - percent) * sizes)
     if not places:
         return fits
     rest = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
@@ -269,8 +273,8 @@ def _links(docs: DataFrame, prefixed: DataFrame, words: int, percent: int) -> Da
         )
     )
     places = _places(groups)
-    bits = groups.select(F.col("leader.doc_id").alias("group"), "leader.bits")
-    pairs = cut_lineage(_first_pairs(places.join(bits, "group"), members, percent))
+    bits = groups.select(F.col("leader.doc_id").alias("group"), "n", "leader.bits")
+    pairs = cut_lineage(_first_pairs(places, bits, members, percent))
     links = cut_lineage(_verified(docs, pairs, words, percent))
     component = cut_lineage(connected(links))
     rest = cut_lineage(_rest(groups, members, places, component, percent))
@@ -284,29 +288,34 @@ def _places(groups: DataFrame) -> DataFrame:
     """``token, group, n, place``: prefix shingles that at least two groups have."""
     leaders = groups.select("n", F.col("leader.doc_id").alias("group"), "leader.prefix")
     places = leaders.select("group", "n", F.posexplode("prefix").alias("place", "token"))
-    shared = places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    return cut_lineage(places.join(shared, "token"))
+    counted = places.withColumn("c", F.count("*").over(Window.partitionBy("token")))
+    return cut_lineage(counted.where("c > 1").select("token", "group", "n", "place"))
 
 
-def _first_pairs(places: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _first_pairs(
+    places: DataFrame, bits: DataFrame, members: DataFrame, percent: int
+) -> DataFrame:
     """``a, b``: each class with its group's leader, and each group with the first of its shingle
-    and the one before it in size."""
+    and the one before it in size. Parities move only to the pairs that sizes and places leave."""
     order = Window.partitionBy("token").orderBy("n", "group")
-    one = F.struct("n", "group", "bits", "place")
+    one = F.struct("n", "group", "place")
     two = F.array(F.min(one).over(order), F.lag(one).over(order))
     close = places.select(one.alias("x"), two.alias("two"))
     close = close.select("x", F.explode("two").alias("y")).where("y is not null")
     close = close.select(
-        *(F.col(f"{x}.{c}").alias(f"{c}_{side}") for c in ("n", "group", "bits", "place")
+        *(F.col(f"{x}.{c}").alias(f"{c}_{side}") for c in ("n", "group", "place")
           for x, side in (("y", "a"), ("x", "b")))
     )
-    met = close.where((F.col("group_a") != F.col("group_b")) & _fits(percent)).select(
+    close = close.where((F.col("group_a") != F.col("group_b")) & _fits(percent, bits=False))
+    close = close.select("group_a", "group_b").distinct()
+    near = close.join(_side(bits, "a"), "group_a").join(_side(bits, "b"), "group_b")
+    met = near.where(_fits(percent, places=False)).select(
         F.least("group_a", "group_b").alias("a"), F.greatest("group_a", "group_b").alias("b")
     )
     led = members.where("doc_id <> group").select(
         F.col("group").alias("a"), F.col("doc_id").alias("b")
     )
-    return met.distinct().unionByName(led)
+    return met.unionByName(led)
 
 
 def _sets_of(docs: DataFrame, pairs: DataFrame, words: int, schema: str, make) -> DataFrame:
