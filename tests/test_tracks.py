@@ -15,6 +15,7 @@ from trackflow.functions.text import utc_timestamp_ntz
 from trackflow.functions.xml import POINT_FIELDS
 from trackflow.operators.features import message_items, st_index, track_points
 from trackflow.operators.normalize import normalize, split_valid
+from trackflow.operators import parsing
 from trackflow.operators.parsing import (
     concat_json,
     infer_schema,
@@ -382,3 +383,25 @@ def test_outputs_are_written_without_a_sort_by_kind(spark, tmp_path, monkeypatch
         ["1", "2"],
         ["0"],
     ]
+
+
+def test_documents_with_texts_of_the_same_types_are_inferred_once(spark):
+    def text(n):
+        leaves = {"n": n, "x": f"{n}.5", "s": f"p{n}-{n}", "w": "TRUE" if n % 2 else "MANUAL"}
+        leaves |= {"t": f"2001-01-{n + 1:02}T00:00:{n:02}", "d": f"2001-02-{n + 20}", "b": "true"}
+        inner = "".join(f"<{name}>{value}</{name}>" for name, value in leaves.items())
+        return f"<TrackMessage>{inner}</TrackMessage>"
+
+    same = spark.createDataFrame([(text(n),) for n in range(0, 8, 2)], "xml string")
+    alike = same.select(parsing._alike(F.col("xml")).alias("xml")).collect()
+    assert {r.xml.replace(f"2001-02-{n}", "") for r, n in zip(alike, range(20, 28, 2))} == {
+        "<TrackMessage><n>1</n><x>1.</x><s>a1</s><w>a1</w><t>2000-01-01T00:00:00</t><d></d>"
+        "<b>true</b></TrackMessage>"
+    }
+    for texts in (["1", "22", "1.5"], ["TRUE"], ["2001-02-30T00:00:00"], ["1d"], ["", "7"], ["-3"]):
+        rows = [(f"<TrackMessage><a>{t}</a></TrackMessage>",) for t in texts]
+        docs = spark.createDataFrame(rows, "xml string")
+        reader = spark._jsparkSession.read().option("rowTag", "TrackMessage")
+        strings = getattr(docs._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+        plain = json.loads(reader.xml(strings).schema().json())
+        assert json.loads(infer_schema(docs).json()) == plain
