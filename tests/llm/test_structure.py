@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from oracle import connect, differences
 from trackflow.llm import (
     boosting,
+    bpe,
     jaccard,
     linededup,
     merkle,
@@ -406,6 +407,15 @@ def test_parities_do_not_move_with_the_places_of_shingles(spark, monkeypatch):
     assert "place#" in below and "bits#" not in below
 
 
+def test_library_words_equal_the_own_ones():
+    definition = queries.vocabulary()
+    own, library = bpe.encoder(definition), bpe.library_encoder(definition)
+    texts = [r for r in ("", " a\x1cb ", "it's, naïve. 12,5 ΣΑΣ x y <|endoftext|> 日本語", "b,. c.,")]
+    words = random.Random(5)
+    texts += ["".join(words.choices("abcdeé ,.'09\n", k=200)) for _ in range(50)]
+    assert [own.encode_bytes(t) for t in texts] == [library.encode_bytes(t) for t in texts]
+
+
 def test_a_task_frees_the_words_it_met(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     freed = spark.sparkContext.accumulator(0)

@@ -58,7 +58,8 @@ def _packed(ids: list[int]) -> bytes:
 
 class _Words(dict):
     """Ids of words already met, as little-endian bytes. When full, its words become the older
-    ones, which come back when they are met again; the ones older than that are forgotten."""
+    ones, which come back when they are met again; the ones older than that are forgotten. What
+    stands between white space is kept as if it were one word."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
@@ -77,20 +78,91 @@ class _Words(dict):
         return value
 
 
-class Encoder:
-    """Tables of one vocabulary file, and the encoding and decoding of texts."""
+class _Texts:
+    """Encoding of texts by the words they are cut into; what encodes a word is left open."""
 
     def __init__(self, definition: str):
-        spec = json.loads(definition)
-        model = spec["model"]
-        self.names: dict[int, str] = {i: name for name, i in model["vocab"].items()}
-        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names.update({i: name for name, i in self.added.items()})
+        self.spec = json.loads(definition)
+        self.added = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         self.special = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
         self.definition = definition
         self.safe: set[str] = set()
         self.symbols = byte_symbols()
         self.bytes_of = {s: byte for byte, s in enumerate(self.symbols)}
+        self.words = _Words(lambda word: _packed(self.encode_word(word)))
+        self.chunks = _Words(self.encode_chunk)
+
+    def encode_word(self, word: str) -> list[int]:
+        raise NotImplementedError
+
+    def encode_chunk(self, chunk: str) -> bytes:
+        """What stands between white space: most is one word, or one with a mark behind it, and
+        needs no pattern to be cut."""
+        if chunk.isalpha():
+            return _packed(self.encode_word(chunk))
+        if chunk[-1] in ".," and chunk[:-1].isalpha():
+            return self.chunks[chunk[:-1]] + self.words[chunk[-1]]
+        return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk)))
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The library's own rules; only few texts need them."""
+        return Tokenizer.from_str(self.definition)
+
+    def encode_part(self, text: str) -> bytes:
+        """A text without special tokens. No word crosses white space."""
+        if not text.isascii() and not self.safe.issuperset(found := set(text)):
+            if any(unicodedata.category(c) == "Cn" for c in found):
+                return b"".join(map(self.words.__getitem__, self.split_new(text)))
+            self.safe |= found
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if any(map(text.__contains__, "\x1c\x1d\x1e\x1f")):  # white space to split() alone
+            return b"".join(map(self.words.__getitem__, _WORDS.findall(text)))
+        return b"".join(map(self.chunks.__getitem__, text.split()))
+
+    def split_new(self, text: str) -> list[str]:
+        """Words of a text with characters newer than Python's tables, cut by the library's."""
+        normal = self.library.normalizer.normalize_str(text)
+        words = self.library.pre_tokenizer.pre_tokenize_str(normal)
+        return [bytes(map(self.bytes_of.__getitem__, word)).decode() for word, _ in words]
+
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
+        parts = self.special.split(text) if "<|" in text else (text,)
+        out = []
+        for n, part in enumerate(parts):
+            if n % 2:
+                out.append(np.array([self.added[part]], "<u4").tobytes())
+            elif part:
+                out.append(self.encode_part(part))
+        return b"".join(out)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode_bytes(text), "<u4")
+
+
+class LibraryEncoder(_Texts):
+    """Texts cut as here, words encoded by the library's model; it has no tables to decode."""
+
+    def __init__(self, definition: str):
+        super().__init__(definition)
+        del self.spec
+        self.model = Tokenizer.from_str(definition).model
+
+    def encode_word(self, word: str) -> list[int]:
+        if not (word.isascii() and word.isprintable()):
+            word = "".join([self.symbols[byte] for byte in word.encode()])
+        return [token.id for token in self.model.tokenize(word)]
+
+
+class Encoder(_Texts):
+    """Tables of one vocabulary file, and the encoding and decoding of texts."""
+
+    def __init__(self, definition: str):
+        super().__init__(definition)
+        model = self.spec["model"]
+        self.names: dict[int, str] = {i: name for name, i in model["vocab"].items()}
+        self.names.update({i: name for name, i in self.added.items()})
         self.ends = {s: chr(ord(s) + 0x1000) for s in self.symbols}
         vocab = model["vocab"]
         known = set(self.symbols) | {s + WORD_END for s in self.symbols}
@@ -107,7 +179,7 @@ class Encoder:
                 self.rank[whole], (self.left[whole], self.right[whole]) = rank, ids
         self._compatible: dict[int, bool] = {}  # by both ids in one number
         self._build([vocab[s] for s in known])
-        self.words = _Words(lambda word: _packed(self.encode_word(word)))
+        del self.spec
         self._offsets()
 
     def _key(self, name: str) -> str:
@@ -199,53 +271,6 @@ class Encoder:
                 at -= length[token]
         return found
 
-    @cached_property
-    def library(self) -> Tokenizer:
-        """The library's own rules; only few texts need them."""
-        return Tokenizer.from_str(self.definition)
-
-    def encode_part(self, text: str) -> bytes:
-        """A text without special tokens. No word crosses white space; most of what stands between
-        it is one word, or one with a mark behind it, and needs no pattern to be cut."""
-        if not text.isascii() and not self.safe.issuperset(found := set(text)):
-            if any(unicodedata.category(c) == "Cn" for c in found):
-                return b"".join(map(self.words.__getitem__, self.split_new(text)))
-            self.safe |= found
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        if any(map(text.__contains__, "\x1c\x1d\x1e\x1f")):  # white space to split() alone
-            return b"".join(map(self.words.__getitem__, _WORDS.findall(text)))
-        words = self.words
-        out = []
-        for chunk in text.split():
-            if chunk.isalpha():
-                out.append(words[chunk])
-            elif chunk[-1] in ".," and chunk[:-1].isalpha():
-                out.append(words[chunk[:-1]])
-                out.append(words[chunk[-1]])
-            else:
-                out.extend(map(words.__getitem__, _WORDS.findall(chunk)))
-        return b"".join(out)
-
-    def split_new(self, text: str) -> list[str]:
-        """Words of a text with characters newer than Python's tables, cut by the library's."""
-        normal = self.library.normalizer.normalize_str(text)
-        words = self.library.pre_tokenizer.pre_tokenize_str(normal)
-        return [bytes(map(self.bytes_of.__getitem__, word)).decode() for word, _ in words]
-
-    def encode_bytes(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        parts = self.special.split(text) if "<|" in text else (text,)
-        out = []
-        for n, part in enumerate(parts):
-            if n % 2:
-                out.append(np.array([self.added[part]], "<u4").tobytes())
-            elif part:
-                out.append(self.encode_part(part))
-        return b"".join(out)
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encode_bytes(text), "<u4")
-
     def _offsets(self) -> None:
         self.table = _Table([self.names.get(i, "") for i in range(len(self.rank))])
         self.decimals = _Table([str(i) for i in range(len(self.rank))])
@@ -286,6 +311,11 @@ def encoder(definition: str) -> Encoder:
     return Encoder(definition)
 
 
+@lru_cache(4)
+def library_encoder(definition: str) -> LibraryEncoder:
+    return LibraryEncoder(definition)
+
+
 def read_vocabulary(path: str) -> str:
     """The vocabulary file's content; it is read on the driver and sent to the tasks once."""
     with open(path, encoding="utf-8") as file:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackflow.llm.bpe import encoder
+from trackflow.llm.bpe import library_encoder
 from trackflow.llm.shared import cut_lineage, per_text
 
 SEQUENCE = 4096
@@ -51,7 +51,7 @@ def pieces(
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(text: str) -> list[tuple]:
-        data = encoder(shipped.value).encode_bytes(text) + end
+        data = library_encoder(shipped.value).encode_bytes(text) + end
         rows = []
         for n, at in enumerate(range(0, len(data), 4 * capacity)):
             part = data[at : at + 4 * capacity]
@@ -60,7 +60,8 @@ def pieces(
         return rows
 
     schema = "piece int, start long, length long, ids_crc32 long"
-    return per_text(docs, schema + ", ids array<long>" * with_ids, cut)
+    schema += ", ids array<long>" * with_ids
+    return per_text(docs, schema, cut, done=library_encoder.cache_clear)
 
 
 def patterns(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
