@@ -153,3 +153,8 @@ def test_feature_files_are_pruned_by_year_and_skipped_by_key(spark, folder, tmp_
     )
     for before, after in zip(bounds, bounds[1:]):
         assert before.time_bin != after.time_bin or before.high <= after.low
+
+
+def test_header_parse_reads_no_items(spark, folder):
+    plan = plan_of(entry_point.queries()["header"](spark, folder))
+    assert "from_xml(" in plan and "trackItemUUID,StringType" not in plan
