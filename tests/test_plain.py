@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 from trackflow.functions import plain
 from trackflow.functions.xml import HEADER_FIELDS, HEADER_SCHEMA, POINT_FIELDS, TRACK_SCHEMA
 from trackflow.operators.assembly import repair_documents
+from trackflow.operators.features import track_points
 from trackflow.operators.normalize import split_valid
 from trackflow.operators.parsing import parse_messages
 from trackflow.plans.tracks import (
+    message_points,
+    normalized_messages,
     rejected_messages,
     valid_documents,
 )
@@ -82,6 +85,13 @@ def test_plain_is_what_the_patterns_know(texts):
     assert [row[2] for row in found] == [i < n + len(LACKING) for i in range(len(found))]
 
 
+def test_points_are_those_of_the_parser(texts):
+    parsed = track_points(normalized_messages(texts, raw=False))
+    found = message_points(texts)
+    assert found.dtypes == parsed.dtypes
+    assert rows_of(found) == rows_of(parsed) and found.count() > 8
+
+
 def test_valid_and_rejected_are_those_of_the_parser(texts):
     valid, rejected = split_valid(parse_messages(repair_documents(texts)))
     assert rows_of(valid_documents(texts)) == rows_of(valid, ["message_id", "xml"])

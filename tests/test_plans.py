@@ -157,13 +157,13 @@ def test_feature_files_are_pruned_by_year_and_skipped_by_key(spark, folder, tmp_
 
 def test_plain_messages_are_not_parsed(spark, tmp_path):
     """The parser gets only messages that are not plain; all others go by patterns."""
-    from trackflow.plans.tracks import valid_documents
+    from trackflow.plans.tracks import message_points, valid_documents
     from trackflow.sources.adapters import track_xml
 
     path = str(tmp_path / "xml")
     track_xml(spark, "/root/testdata/sf0.001").write.parquet(path)
     texts = spark.read.parquet(path)
-    for df in (valid_documents(texts),):
+    for df in (message_points(texts), valid_documents(texts)):
         plan = plan_of(df)
         assert plan.count("from_xml(") == 1 and "CASE WHEN isnull(" in plan
     assert "NOT coalesce(RLIKE(" in plan_of(rejected_messages(texts))
