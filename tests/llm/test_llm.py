@@ -132,6 +132,24 @@ def test_trees_as_sql_equal_trees_as_arrays(spark):
     assert ((pii.predict(model, x) > 0) == (x[:, 0] + x[:, 1] > 8)).mean() > 0.9
 
 
+def test_trees_learn_from_few_rows_and_from_one_kind():
+    few = [([float(i % 2)], i % 2) for i in (0, 0, 1, 1, 0, 0, 1, 1, 0, 0, 1, 1)]
+    model, threshold = pii.learn(few)
+    scores = pii.predict(model, np.array([[0.0], [1.0]]))
+    assert scores[0] < threshold <= scores[1]
+    assert pii.learn([([1.0], 1)] * 6) is not None
+    assert pii.learn([([1.0], 0)] * 60) is None  # no score keeps the precision
+    assert pii.learn([]) is None and pii.learn([([1.0], 1)]) is None
+
+
+def test_spans_are_added_from_a_small_sample(spark):
+    texts = [f"call +49 30 123456{i}" for i in range(6)] + ["ask bob [at] mail [dot] com today"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find_personal_data(docs).collect()}
+    assert [[s.kind for s in found[i]] for i in range(6)] == [["phone"]] * 6
+    assert [texts[6][s.start : s.end] for s in found[6]] == ["bob [at] mail [dot] com"]
+
+
 def test_line_dedup(spark, docs, rows, tmp_path):
     index = linededup.LineIndex(spark, str(tmp_path / "whole"), 3)
     index.insert(docs)
