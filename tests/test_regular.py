@@ -5,11 +5,14 @@ from pyspark.sql import functions as F
 
 from test_plain import LACKING, NOTE, ODD, PLAIN, VIDEO, message, point, rows_of
 from trackflow.functions import regular
-from trackflow.operators import rewrite
+from trackflow.functions.xml import CORRUPT
+from trackflow.operators import parsing, rewrite
 from trackflow.operators.assembly import repair_documents
 from trackflow.operators.features import message_items, track_points
 from trackflow.operators.normalize import split_valid
-from trackflow.operators.parsing import parse_messages
+from trackflow.operators.parsing import json_documents, parse_messages, parsed_only, whole_json
+from trackflow.operators.sinks import write_documents
+from trackflow.plans.documents import staged
 from trackflow.plans.tracks import (
     message_points,
     normalized_messages,
@@ -98,7 +101,28 @@ def test_tiles_are_written_as_nodes_are(texts):
     assert rows_of(written, xml) == rows_of(rewrite.to_track_xml(nodes), xml)
 
 
-@pytest.mark.parametrize("parsed", [routed_items, message_points, valid_documents])
+def test_json_is_that_of_parsed_messages(texts):
+    parsed = parsed_only(parse_messages(texts, f"{CORRUPT} string"))
+    whole = [F.md5("message_id").alias("doc_id"), whole_json(F.col("xml")).alias("json")]
+    found = json_documents(texts, ["message_id"])
+    assert rows_of(found) == rows_of(parsed, whole) and found.count() > len(REGULAR)
+
+
+def test_json_files_and_staged_lines_are_small(spark, texts, tmp_path):
+    documents = json_documents(texts, ["message_id"])
+    write_documents(documents, str(tmp_path / "documents"))
+    assert {p.suffix for p in (tmp_path / "documents").glob("part-*")} == {".gz"}
+    stored = spark.read.schema("doc_id string, body string").json(str(tmp_path / "documents"))
+    assert rows_of(stored) == rows_of(documents.withColumnRenamed("json", "body"))
+    lines = staged(texts)
+    assert all(path.endswith(".zstd.parquet") for path in lines.inputFiles())
+    assert rows_of(lines) == rows_of(texts)
+
+
+@pytest.mark.parametrize(
+    "parsed",
+    [routed_items, message_points, valid_documents, lambda df: json_documents(df, ["message_id"])],
+)
 def test_no_regular_message_is_parsed(spark, monkeypatch, parsed):
     """Messages that are neither plain nor regular are the only ones with a text to parse."""
     seen = []
@@ -109,6 +133,7 @@ def test_no_regular_message_is_parsed(spark, monkeypatch, parsed):
         return parse_messages(documents, *schema)
 
     monkeypatch.setattr(tracks, "parse_messages", parse)
+    monkeypatch.setattr(parsing, "parse_messages", parse)
     known = spark.createDataFrame([(text,) for text in REGULAR + INCOMPLETE], "xml string")
     parsed(known.withColumn("message_id", F.lit("m"))).collect()
     assert [df.where("xml IS NOT NULL").count() for df in seen] == [0]
